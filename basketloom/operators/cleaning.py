@@ -30,12 +30,20 @@ def preview(df: DataFrame, order: Sequence[str], n: int = 10) -> DataFrame:
     return top_overall(df, [F.col(c) for c in order], n)
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, sample std, min, quartiles and max of each column, one row per column."""
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], list(columns), "column", "value"
+def describe_numeric(frames: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """count, mean, sample std, min, quartiles and max: one row per (table, column).
+
+    ``frames`` maps a table name to its frame and numeric columns. All columns are laid out as
+    (table, column, value) rows, so everything is computed in one pass over each table.
+    """
+    long = union_all(
+        df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+        .unpivot([], list(columns), "column", "value")
+        .withColumn("table", F.lit(name))
+        for name, (df, columns) in frames.items()
     )
-    basic = long.groupBy("column").agg(
+    by = ["table", "column"]
+    basic = long.groupBy(*by).agg(
         F.count("value").alias("n"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
@@ -43,9 +51,9 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.max("value").alias("max"),
     )
     quartiles = quantiles_of_counts(
-        value_counts(long, "value", ["column"]), {"q25": 0.25, "q50": 0.5, "q75": 0.75}, ["column"]
+        value_counts(long, "value", by), {"q25": 0.25, "q50": 0.5, "q75": 0.75}, by
     )
-    return basic.join(quartiles, "column", "left")
+    return basic.join(quartiles, by, "left")
 
 
 def null_profile(frames: Mapping[str, DataFrame]) -> DataFrame:
@@ -82,10 +90,12 @@ def table_audit(frames: Mapping[str, DataFrame], user: str = "user_id") -> DataF
 
 def lenient_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Cast keys to whole numbers, unreadable ones to null, and drop rows with a null key."""
+    kinds = dict(df.dtypes)
     whole = {
         # The direct cast keeps every digit of a long id; only decimals take the second path.
         key: F.coalesce(F.col(key).try_cast("long"), F.col(key).try_cast("double").try_cast("long"))
         for key in keys
+        if kinds[key] not in ("bigint", "int", "smallint", "tinyint")
     }
     return df.withColumns(whole).na.drop(subset=list(keys))
 

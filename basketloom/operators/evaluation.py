@@ -44,32 +44,22 @@ def ranking_metrics(scores: DataFrame) -> DataFrame:
     """
     by = _metric_groups(scores)
     ranked = running_totals(
-        with_balanced_blocks(_by_score(scores, by), "prob", "n", by),
+        with_balanced_blocks(_by_score(scores, by), "prob", ["n", "pos", "neg"], by),
         keys=by,
         block=F.col("_block"),
         order=["prob"],
         totals={"pos_upto": F.col("pos"), "neg_upto": F.col("neg"), "n_upto": F.col("n")},
     )
-    # Positives in total, needed before the final sum, are one small row per group.
-    ends = ranked.groupBy(*by).agg(
-        F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"), F.sum("n").alias("all_n")
-    )
-    if by:
-        joined = ranked.join(F.broadcast(ends), by)
-    else:
-        totals = ends.agg(F.first(F.struct("all_pos", "all_neg", "all_n")).alias("t")).scalar()
-        joined = ranked.withColumn("_t", totals).select("*", "_t.*")
+    all_pos, all_neg = F.col("_total_pos").cast("double"), F.col("_total_neg").cast("double")
     below = F.col("neg_upto") - F.col("neg")
     won = F.sum(F.col("pos") * (below + F.col("neg") / 2.0))
-    hits_above = F.col("all_pos") - F.col("pos_upto") + F.col("pos")
-    rows_above = F.col("all_n") - F.col("n_upto") + F.col("n")
-    return joined.groupBy(*by).agg(
-        F.try_divide(
-            won, F.max(F.col("all_pos").cast("double") * F.col("all_neg").cast("double"))
-        ).alias("auc"),
-        F.try_divide(
-            F.sum(F.col("pos") * (hits_above / rows_above)), F.max(F.col("all_pos").cast("double"))
-        ).alias("average_precision"),
+    hits_above = F.col("_total_pos") - F.col("pos_upto") + F.col("pos")
+    rows_above = F.col("_total_n") - F.col("n_upto") + F.col("n")
+    return ranked.groupBy(*by).agg(
+        F.try_divide(won, F.max(all_pos * all_neg)).alias("auc"),
+        F.try_divide(F.sum(F.col("pos") * (hits_above / rows_above)), F.max(all_pos)).alias(
+            "average_precision"
+        ),
     )
 
 
@@ -197,7 +187,7 @@ def mean_scores(per_order: DataFrame, by: Sequence[str] = ()) -> DataFrame:
             )
         ),
     )
-    ranks = exact_quantiles(sizes, "size", {"p50": 0.5, "p90": 0.9}, [*by, "side"])
+    ranks = exact_quantiles(sizes, "size", {"p50": 0.5, "p90": 0.9}, [*by, "side"], sizes=True)
 
     def pick(side: str, name: str) -> Column:
         return F.max(F.when(F.col("side") == side, F.col(name))).alias(f"{side}_size_{name}")

@@ -137,29 +137,34 @@ def candidate_table(
     tables: Tables,
     affinity: DataFrame | None = None,
     labelled_users_only: bool = False,
-    details: DataFrame | None = None,
+    pairs: DataFrame | None = None,
 ) -> DataFrame:
     """One row per (user, product) seen in prior lines: all features and the 0/1 label.
 
     By default every user with prior lines is kept, those without a train order being all
     negatives; ``labelled_users_only`` restricts to users that have one. ``affinity`` adds the
     two factor scores, which are 0.0 where it has no row or is not given.
+
+    ``pairs`` may be a stored ``pair_totals``. It feeds three branches (the rows themselves, user
+    and product features), so storing it makes one pass over the lines out of three.
     """
     timeline = with_cumulative_days(tables.orders)
-    pairs = pair_totals(prior_details(tables, timeline) if details is None else details)
+    if pairs is None:
+        pairs = pair_totals(prior_details(tables, timeline))
     users = user_features(pairs, last_cumulative_day(timeline))
     if labelled_users_only:
         users = users.join(train_orders(tables.orders), "user_id", "left_semi")
-    catalog = tables.products.select("product_id", "aisle_id", "department_id")
-    full = (
-        pairs.join(users, "user_id")
-        .join(label_pairs(tables.train, tables.orders), ["user_id", "product_id"], "left")
-        .join(product_features(pairs).join(catalog, "product_id", "left"), "product_id", "left")
-    )
+    # Joins on (user, product) come first: the totals are already partitioned by that key.
+    full = pairs.join(label_pairs(tables.train, tables.orders), ["user_id", "product_id"], "left")
     if affinity is not None:
         full = full.join(affinity, ["user_id", "product_id"], "left")
     else:
         full = full.withColumns({c: F.lit(0.0) for c in AFFINITY_FEATURES})
+    full = (
+        full.join(users, "user_id")
+        .join(product_features(pairs), "product_id", "left")
+        .join(tables.products.select("product_id", *CATEGORICAL_FEATURES), "product_id", "left")
+    )
     return full.select(
         "user_id",
         "product_id",

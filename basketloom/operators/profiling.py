@@ -92,7 +92,7 @@ def basket_size_stats(purchases: DataFrame) -> DataFrame:
     """Mean, median and 90th percentile of the basket size, from one table of sizes."""
     counts = value_counts(basket_sizes(purchases), "basket_size")
     mean = counts.agg((F.sum(F.col("value") * F.col("n")) / F.sum("n"))).scalar()
-    ranks = quantiles_of_counts(counts, {"median": 0.5, "p90": 0.9})
+    ranks = quantiles_of_counts(counts, {"median": 0.5, "p90": 0.9}, sizes=True)
     return ranks.select(mean.alias("mean"), "median", "p90")
 
 
@@ -131,7 +131,8 @@ def long_tail_summary(orders: DataFrame, history: DataFrame, target: DataFrame)
                     F.coalesce("days_since_prior_order", F.lit(0.0)),
                 ),
             ]
-        )
+        ),
+        sizes=True,
     )
 
 
@@ -140,9 +141,9 @@ def distribution(df: DataFrame, value: str, bins: int = 80, log1p: bool = False)
     return histogram(df, value, bins, log1p)
 
 
-def plot_quantiles(df: DataFrame, value: str) -> DataFrame:
+def plot_quantiles(df: DataFrame, value: str, sizes: bool = False) -> DataFrame:
     """The median, 90th and 99th percentile marked on distribution plots."""
-    return exact_quantiles(df, value, PLOT_PROBS)
+    return exact_quantiles(df, value, PLOT_PROBS, sizes=sizes)
 
 
 def count_of_counts(pairs: DataFrame, top: int = 20) -> DataFrame:
@@ -203,7 +204,8 @@ def busiest_hours(orders: DataFrame, n: int = 5) -> DataFrame:
 
 def gap_quantiles(orders: DataFrame) -> DataFrame:
     """Median, 90th and 99th percentile of gap days, first orders counting as 0."""
-    return plot_quantiles(orders.na.fill({"days_since_prior_order": 0.0}), "days_since_prior_order")
+    filled = orders.na.fill({"days_since_prior_order": 0.0})
+    return plot_quantiles(filled, "days_since_prior_order", sizes=True)
 
 
 def product_popularity(history: DataFrame) -> DataFrame:

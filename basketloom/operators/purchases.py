@@ -36,15 +36,16 @@ def with_order_attributes(
 def with_catalog(lines: DataFrame, tables: Tables) -> DataFrame:
     """Lines with aisle and department ids and names; unknown products keep nulls.
 
-    The three dimensions are joined among themselves first (one row per product), so the lines
-    are joined once. Whether that side is broadcast is left to its measured size.
+    One plain join per dimension: each is a stored table whose size is known while planning, so it
+    is broadcast when small enough and shuffled otherwise. Joining the dimensions to each other
+    first would hide their sizes.
     """
-    catalog = (
-        tables.products.select("product_id", "aisle_id", "department_id")
+    catalog = tables.products.select("product_id", "aisle_id", "department_id")
+    return (
+        lines.join(catalog, "product_id", "left")
         .join(tables.aisles, "aisle_id", "left")
         .join(tables.departments, "department_id", "left")
     )
-    return lines.join(catalog, "product_id", "left")
 
 
 PURCHASE_COLUMNS = [

@@ -57,29 +57,32 @@ def running_totals(
 
 
 def with_balanced_blocks(
-    counts: DataFrame, value: str, weight: str, by: Sequence[str] = (), blocks: int = 128
+    counts: DataFrame,
+    value: str,
+    totals: Sequence[str],
+    by: Sequence[str] = (),
+    blocks: int = 128,
 ) -> DataFrame:
-    """Add ``_block`` (rising with ``value``, about equal numbers of rows) and ``_total`` weight.
+    """Add ``_block`` (rising with ``value``, about equally many rows each) and group totals.
 
-    ``counts`` holds one row per (by, value), so no value repeats and the sketch of the values
-    yields even blocks whatever the skew of the raw rows. ``by`` must be a report dimension
-    (measure, model, ...) named by the caller: the marks are then a handful of rows, each an array
-    of ``blocks - 1`` doubles, which is what makes it safe to broadcast them.
+    ``counts`` holds one row per (by, value), so no value repeats and a sketch of the values yields
+    even blocks whatever the skew of the raw rows. ``_total_<c>`` is the sum of each column in
+    ``totals`` over the ``by`` group. ``by`` must be a report dimension (measure, model, ...) named
+    by the caller: the marks are then a handful of rows, each with an array of ``blocks - 1``
+    numbers, which is what makes it safe to broadcast them.
     """
-    probes = F.array(*[F.lit(i / blocks) for i in range(1, blocks)])
-    # Naming the weight here keeps this branch's input identical to the main one, so that the
+    probes = ", ".join(f"{i / blocks}D" for i in range(1, blocks))
+    # Naming a total here keeps this branch's input identical to the main one, so that the
     # exchange below it is computed once and reused.
-    marked = F.percentile_approx(F.when(F.col(weight) > 0, F.col(value)), probes, F.lit(10_000))
+    marked = F.expr(
+        f"percentile_approx(CASE WHEN {totals[0]} >= 0 THEN {value} END, array({probes}), 10000)"
+    )
+    extra = [marked.alias("_marks"), *[F.sum(c).alias(f"_total_{c}") for c in totals]]
     if by:
-        marks = counts.groupBy(*by).agg(marked.alias("_marks"), F.sum(weight).alias("_total"))
-        joined = counts.join(F.broadcast(marks), list(by))
+        joined = counts.join(F.broadcast(counts.groupBy(*by).agg(*extra)), list(by))
     else:
-        both = counts.agg(F.struct(marked.alias("m"), F.sum(weight).alias("t")).alias("s")).scalar()
-        joined = counts.select("*", both.alias("_both")).select(
-            *[F.col(c) for c in counts.columns],
-            F.col("_both.m").alias("_marks"),
-            F.col("_both.t").alias("_total"),
-        )
+        packed = counts.agg(F.struct(*extra).alias("_g")).scalar()
+        joined = counts.select("*", packed.alias("_g")).select(*counts.columns, "_g.*")
     here = F.size(F.filter("_marks", lambda mark: mark <= F.col(value)))
     return joined.withColumn("_block", here).drop("_marks")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
@@ -97,10 +98,19 @@ def _vectors(scaled: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=SEGMENT_FEATURES, outputCol="features").transform(scaled)
 
 
-def best_kmeans(vectors: DataFrame, k: int, seed: int, restarts: int = 20) -> KMeansModel:
-    """The k-means fit of least inertia among ``restarts`` seeds."""
-    fits = (KMeans(k=k, seed=seed + i).fit(vectors) for i in range(restarts))
-    return min(fits, key=lambda m: m.summary.trainingCost)
+def kmeans_fits(
+    vectors: DataFrame, ks: Sequence[int], seed: int, restarts: int, parallelism: int = 4
+) -> dict[int, KMeansModel]:
+    """For every k, the fit of least inertia among ``restarts`` seeds.
+
+    The fits are independent Spark jobs; ``parallelism`` of them are submitted at a time.
+    """
+    vectors.count()  # fill the cache once, before the fits share it
+    jobs = [(k, seed + i) for k in ks for i in range(restarts)]
+    with ThreadPool(min(parallelism, len(jobs))) as pool:
+        fits = pool.map(lambda job: (job[0], KMeans(k=job[0], seed=job[1]).fit(vectors)), jobs)
+    cost = {id(model): model.summary.trainingCost for _, model in fits}
+    return {k: min((m for j, m in fits if j == k), key=lambda m: cost[id(m)]) for k in ks}
 
 
 def elbow_table(
@@ -109,9 +119,8 @@ def elbow_table(
     """Inertia per number of clusters. The vectors are cached once for all fits."""
     vectors = _vectors(scaled).select("features").persist()
     try:
-        rows = [
-            (k, float(best_kmeans(vectors, k, seed, restarts).summary.trainingCost)) for k in ks
-        ]
+        fits = kmeans_fits(vectors, ks, seed, restarts)
+        rows = [(k, float(model.summary.trainingCost)) for k, model in fits.items()]
     finally:
         vectors.unpersist()
     return scaled.sparkSession.createDataFrame(rows, "k int, inertia double")
@@ -127,7 +136,7 @@ def user_segments(
     """
     vectors = _vectors(scaled_segment_features(features)).select("user_id", "features").persist()
     try:
-        model = best_kmeans(vectors, k, seed, restarts)
+        model = kmeans_fits(vectors, [k], seed, restarts)[k]
     finally:
         vectors.unpersist()
     axis = SEGMENT_FEATURES.index("u_hist_orders")

@@ -37,19 +37,19 @@ COMMON = {
         from placed""",
     "prior_line": "select * exclude (source) from line where source = 'prior'",
     "train_line": "select * exclude (source) from line where source = 'train'",
-    "lead_part": """
-        select *, p_partkey % 100 as product_id,
-               cast(split_part(p_brand, '#', 2) as integer) as aisle_id,
+    "typed_part": """
+        select *, cast(split_part(p_brand, '#', 2) as integer) as aisle_id,
                cast(case p_type when 'ECONOMY' then 1 when 'LARGE' then 2 when 'MEDIUM' then 3
                     when 'PROMO' then 4 when 'SMALL' then 5 when 'STANDARD' then 6 end as integer)
-                   as department_id
-        from part where p_partkey in (select min(p_partkey) from part group by p_partkey % 100)""",
+                   as department_id from part""",
     "prod": """
-        select product_id, p_name as product_name, aisle_id, department_id from lead_part""",
+        select p_partkey % 100 as product_id, p_name as product_name, aisle_id, department_id
+        from typed_part
+        where p_partkey in (select min(p_partkey) from part group by p_partkey % 100)""",
     "ais": """
         select distinct aisle_id, case when aisle_id = 7 then ' Missing ' else lower(p_brand) end
-               as aisle from lead_part""",
-    "dep": "select distinct department_id, lower(p_type) as department from lead_part",
+               as aisle from typed_part""",
+    "dep": "select distinct department_id, lower(p_type) as department from typed_part",
     "bad": """
         select p.product_id from prod p join ais a using (aisle_id) join dep d using (department_id)
         where lower(trim(p.product_name, E' \\t\\n\\r')) = 'missing'

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,8 +70,15 @@ def target(s: WarehouseStage) -> DataFrame:
     return s.table("target", lambda: buy.target_rows(purchases(s), targets(s)))
 
 
+def pair_totals(s: WarehouseStage) -> DataFrame:
+    return s.table("pair_totals", lambda: features.pair_totals(features.prior_details(s.tables())))
+
+
 def candidates(s: WarehouseStage) -> DataFrame:
-    return s.table("candidates", lambda: features.candidate_table(s.tables()))
+    def build() -> DataFrame:
+        return features.candidate_table(s.tables(), pairs=pair_totals(s))
+
+    return s.table("candidates", build)
 
 
 def full_candidates(s: WarehouseStage) -> DataFrame:
@@ -113,6 +121,31 @@ def truth(s: WarehouseStage) -> DataFrame:
     return evaluation.true_products(s.train)
 
 
+def stage_inputs(spark: SparkSession, folder: str) -> Iterator[tuple[str, float]]:
+    """Write every staged table in turn; yields its name and the seconds it took."""
+    s = stage_for(spark, folder)
+    builders = {
+        "orders": lambda: s.orders,
+        "lines": lambda: s.lines,
+        "products": lambda: s.products,
+        "aisles": lambda: s.aisles,
+        "departments": lambda: s.departments,
+        "purchases": lambda: purchases(s),
+        "targets": lambda: targets(s),
+        "history": lambda: history(s),
+        "target": lambda: target(s),
+        "pair_totals": lambda: pair_totals(s),
+        "candidates": lambda: candidates(s),
+        "full_candidates": lambda: full_candidates(s),
+        "segment_features": lambda: _segment_features(s),
+        "segments": lambda: _segments(s),
+    }
+    for name, build in builders.items():
+        start = time.perf_counter()
+        build()
+        yield name, time.perf_counter() - start
+
+
 # --- sources, cleaning -------------------------------------------------------------------------
 
 
@@ -148,13 +181,7 @@ def numeric_describe(s: WarehouseStage) -> DataFrame:
         "prior": (s.prior, s.prior.columns),
         "train": (s.train, s.train.columns),
     }
-    return rounded(
-        cleaning.union_all(
-            cleaning.describe_numeric(df, columns).withColumn("table", F.lit(name))
-            for name, (df, columns) in frames.items()
-        ),
-        4,
-    )
+    return rounded(cleaning.describe_numeric(frames), 4)
 
 
 @query
@@ -305,7 +332,7 @@ def product_features(s: WarehouseStage) -> DataFrame:
 
 @query
 def pair_features(s: WarehouseStage) -> DataFrame:
-    pairs, days = _pairs(s)
+    pairs, days = pair_totals(s), _pairs(s)[1]
     return rounded(features.pair_features(pairs, features.user_features(pairs, days)))
 
 
@@ -316,12 +343,15 @@ def labels(s: WarehouseStage) -> DataFrame:
 
 @query
 def candidate_table(s: WarehouseStage) -> DataFrame:
-    return rounded(features.candidate_table(s.tables()).drop(*features.AFFINITY_FEATURES))
+    full = features.candidate_table(s.tables(), pairs=pair_totals(s))
+    return rounded(full.drop(*features.AFFINITY_FEATURES))
 
 
 @query
 def labelled_candidates(s: WarehouseStage) -> DataFrame:
-    full = features.candidate_table(s.tables(), labelled_users_only=True)
+    full = features.candidate_table(
+        s.tables(), labelled_users_only=True, pairs=pair_totals(s)
+    )
     return full.select("user_id", "product_id", "up_buy_cnt", "label")
 
 
@@ -461,7 +491,8 @@ def candidate_size(s: WarehouseStage) -> DataFrame:
 
 @query
 def candidate_size_quantiles(s: WarehouseStage) -> DataFrame:
-    return rounded(profiling.plot_quantiles(profiling.candidate_sizes(history(s)), "n_products"))
+    sizes = profiling.candidate_sizes(history(s))
+    return rounded(profiling.plot_quantiles(sizes, "n_products", sizes=True))
 
 
 @query

@@ -16,6 +16,9 @@ SQL_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Recording the Python call site of every expression is costly for long plans.
+STATIC_DEFAULTS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -28,11 +31,19 @@ def build_session(
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in {**SQL_DEFAULTS, **conf}.items():
+    for key, value in {**SQL_DEFAULTS, **STATIC_DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+def use_sql_defaults(spark: SparkSession) -> None:
+    """Apply the settings above to a session made elsewhere, unless its owner set them."""
+    given = spark.sparkContext.getConf()
+    for key, value in SQL_DEFAULTS.items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can read and write.
 

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import Tables
-from ..session import shared_dir
-from .warehouse import read_warehouse, warehouse_lines, warehouse_orders
+from ..session import shared_dir, use_sql_defaults
+from .warehouse import read_warehouse, warehouse_lines
 
 
 class Stage:
@@ -23,15 +23,17 @@ class Stage:
         self.spark = spark
         app = spark.sparkContext.applicationId
         self.root = f"{shared_dir(spark)}/{name}-{app}-{uuid.uuid4().hex[:8]}"
-        self._known: set[str] = set()
+        self._frames: dict[str, DataFrame] = {}
 
     def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """The table called ``name``, built and written on first use."""
-        path = f"{self.root}/{name}"
-        if name not in self._known:
-            build().write.mode("overwrite").parquet(path)
-            self._known.add(name)
-        return self.spark.read.parquet(path)
+        if name not in self._frames:
+            path = f"{self.root}/{name}"
+            built = build()
+            built.write.mode("overwrite").parquet(path)
+            # The schema is known, so reading back needs no inference job.
+            self._frames[name] = self.spark.read.schema(built.schema).parquet(path)
+        return self._frames[name]
 
 
 class WarehouseStage(Stage):
@@ -50,13 +52,15 @@ class WarehouseStage(Stage):
 
     @property
     def orders(self) -> DataFrame:
-        raw = self.spark.read.parquet(f"{self.folder}/orders.parquet")
-        return self.table("orders", lambda: warehouse_orders(raw))
+        return self.table("orders", lambda: self.derived.orders)
 
     @property
     def lines(self) -> DataFrame:
-        raw = self.spark.read.parquet(f"{self.folder}/lineitem.parquet")
-        return self.table("lines", lambda: warehouse_lines(raw, self.orders))
+        def build() -> DataFrame:
+            raw = self.spark.read.parquet(f"{self.folder}/lineitem.parquet")
+            return warehouse_lines(raw, self.orders)
+
+        return self.table("lines", build)
 
     @property
     def prior(self) -> DataFrame:
@@ -91,5 +95,6 @@ def stage_for(spark: SparkSession, folder: str) -> WarehouseStage:
     """The stage of this application for ``folder``; one per (application, folder)."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _stages:
+        use_sql_defaults(spark)
         _stages[key] = WarehouseStage(spark, folder)
     return _stages[key]

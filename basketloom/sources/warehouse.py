@@ -95,7 +95,16 @@ def warehouse_lines(raw: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def folded_catalog(raw: DataFrame) -> DataFrame:
+def _aisle_id():
+    return F.substring_index("p_brand", "#", -1).cast("int")
+
+
+def _department_id():
+    types = F.array(*[F.lit(t) for t in PART_TYPES])
+    return F.array_position(types, F.col("p_type")).cast("int")
+
+
+def warehouse_products(raw: DataFrame) -> DataFrame:
     """Parts folded onto the catalogue: each product has the attributes of its lowest part key.
 
     All parts are read; the lowest keys are at most ``CATALOG_SIZE`` rows, hence the broadcast.
@@ -103,31 +112,37 @@ def folded_catalog(raw: DataFrame) -> DataFrame:
     lead = raw.groupBy((F.col("p_partkey") % CATALOG_SIZE).alias("product_id")).agg(
         F.min("p_partkey").alias("p_partkey")
     )
-    types = F.array(*[F.lit(t) for t in PART_TYPES])
-    aisle_id = F.substring_index("p_brand", "#", -1).cast("int")
     return raw.join(F.broadcast(lead), "p_partkey").select(
         "product_id",
         F.col("p_name").alias("product_name"),
-        aisle_id.alias("aisle_id"),
-        F.array_position(types, F.col("p_type")).cast("int").alias("department_id"),
-        F.when(aisle_id == NAMELESS_BRAND, NAMELESS_AISLE)
-        .otherwise(F.lower("p_brand"))
-        .alias("aisle"),
-        F.lower("p_type").alias("department"),
+        _aisle_id().alias("aisle_id"),
+        _department_id().alias("department_id"),
     )
 
 
+def warehouse_aisles(raw: DataFrame) -> DataFrame:
+    """Brands as aisles, one of them without a usable name."""
+    named = F.when(_aisle_id() == NAMELESS_BRAND, NAMELESS_AISLE).otherwise(F.lower("p_brand"))
+    return raw.select(_aisle_id().alias("aisle_id"), named.alias("aisle")).distinct()
+
+
+def warehouse_departments(raw: DataFrame) -> DataFrame:
+    """Part types as departments."""
+    return raw.select(
+        _department_id().alias("department_id"), F.lower("p_type").alias("department")
+    ).distinct()
+
+
 def read_warehouse(spark: SparkSession, folder: str) -> Tables:
     """The six tables, derived lazily from the parquet files in ``folder``."""
     raw = {t: spark.read.parquet(f"{folder}/{t}.parquet") for t in ("orders", "lineitem", "part")}
     orders = warehouse_orders(raw["orders"])
     lines = warehouse_lines(raw["lineitem"], orders)
-    catalog = folded_catalog(raw["part"])
     return Tables(
         orders=orders,
         prior=lines.where("eval_set = 'prior'").drop("eval_set"),
         train=lines.where("eval_set = 'train'").drop("eval_set"),
-        products=catalog.select("product_id", "product_name", "aisle_id", "department_id"),
-        aisles=catalog.select("aisle_id", "aisle").distinct(),
-        departments=catalog.select("department_id", "department").distinct(),
+        products=warehouse_products(raw["part"]),
+        aisles=warehouse_aisles(raw["part"]),
+        departments=warehouse_departments(raw["part"]),
     )
