@@ -13,6 +13,7 @@ from ..operators import purchases as buy
 from ..operators import segments as seg
 from ..sources import read_warehouse, stage_for
 from ..sources.staging import WarehouseStage
+from .next_order import predict_next_orders
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,13 +82,16 @@ def candidates(s: WarehouseStage) -> DataFrame:
     return s.table("candidates", build)
 
 
+def affinities(s: WarehouseStage) -> DataFrame:
+    pairs = pair_totals(s).withColumnRenamed("lines", "up_buy_cnt")
+    return s.table("affinity", lambda: affinity.affinity_features(pairs))
+
+
 def full_candidates(s: WarehouseStage) -> DataFrame:
     """Candidates with the affinity features."""
 
     def build() -> DataFrame:
-        pairs = candidates(s)
-        scored = affinity.affinity_features(pairs.select("user_id", "product_id", "up_buy_cnt"))
-        return pairs.drop(*features.AFFINITY_FEATURES).join(scored, ["user_id", "product_id"])
+        return features.candidate_table(s.tables(), affinities(s), pairs=pair_totals(s))
 
     return s.table("full_candidates", build)
 
@@ -136,6 +140,7 @@ def stage_inputs(spark: SparkSession, folder: str) -> Iterator[tuple[str, float]
         "target": lambda: target(s),
         "pair_totals": lambda: pair_totals(s),
         "candidates": lambda: candidates(s),
+        "affinity": lambda: affinities(s),
         "full_candidates": lambda: full_candidates(s),
         "segment_features": lambda: _segment_features(s),
         "segments": lambda: _segments(s),
@@ -838,3 +843,22 @@ def feature_importance(s: WarehouseStage) -> DataFrame:
 @query
 def training_curve(s: WarehouseStage) -> DataFrame:
     return _trees(s, "boosted_a").training_curve()
+
+
+def _fitted(s: WarehouseStage) -> dict[str, DataFrame]:
+    return predict_next_orders(s.tables(), s, rounds=TREE_ROUNDS, with_blend=True)
+
+
+@query
+def model_row_metrics(s: WarehouseStage) -> DataFrame:
+    return _fitted(s)["row_metrics"]
+
+
+@query
+def model_recall_hit(s: WarehouseStage) -> DataFrame:
+    return _fitted(s)["recall_hit_at_k"]
+
+
+@query
+def model_summary(s: WarehouseStage) -> DataFrame:
+    return _fitted(s)["summary"]
