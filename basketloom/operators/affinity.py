@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import cosine, dot
+from ..session import ensure_checkpoints
 from .running import dense_ids
 
 
@@ -19,8 +20,15 @@ def fit_factors(
     seed: int = 42,
     user: str = "user_id",
     item: str = "product_id",
+    blocks: int | None = None,
 ) -> ALSModel:
-    """Implicit-feedback factors from purchase counts (``up_buy_cnt``)."""
+    """Implicit-feedback factors from purchase counts (``up_buy_cnt``).
+
+    Users and items are dealt over ``blocks`` blocks each, by default one per core.
+    """
+    spark = pairs.sparkSession
+    ensure_checkpoints(spark)
+    blocks = blocks or max(10, spark.sparkContext.defaultParallelism)
     ratings = pairs.select(
         F.col(user).cast("int").alias("user"),
         F.col(item).cast("int").alias("item"),
@@ -33,6 +41,8 @@ def fit_factors(
         alpha=alpha,
         seed=seed,
         implicitPrefs=True,
+        numUserBlocks=blocks,
+        numItemBlocks=blocks,
         coldStartStrategy="nan",
     )
     return als.fit(ratings)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .cleaning import rows_of, union_all
 from .features import is_validation_user, train_orders
 from .quantiles import exact_quantiles
-from .running import running_totals, top_per_key, with_balanced_blocks
+from .running import running_totals, top_per_key, with_balanced_blocks, with_single_row
 
 # List length of the fair comparison, ranks of recall@K, calibration bins, and the
 # preference among models for diagnostics (best first).
@@ -216,8 +216,7 @@ def mean_scores(per_order: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     ]
     if by:
         return means.join(spread, list(by)).select(*columns)
-    one = F.lit(1)
-    return means.withColumn("_", one).join(spread.withColumn("_", one), "_").select(*columns)
+    return with_single_row(means, spread).select(*columns)
 
 
 def evaluate_thresholds(
@@ -359,14 +358,7 @@ def evaluate_baseline(
         F.coalesce(F.avg(F.col("n_hit") / F.col("n_true")), F.lit(0.0)).alias("recall_at_k"),
         F.coalesce(F.avg((F.col("n_hit") > 0).cast("double")), F.lit(0.0)).alias("hit_at_k"),
     )
-    one = F.lit(1)
-    return (
-        mean_scores(per_order)
-        .withColumn("_", one)
-        .join(ranks.withColumn("_", one), "_")
-        .drop("_")
-        .withColumn("k", F.lit(k))
-    )
+    return with_single_row(mean_scores(per_order), ranks).withColumn("k", F.lit(k))
 
 
 def preferred_model(scores: DataFrame, preference: Sequence[str] = MODEL_PREFERENCE) -> DataFrame:

@@ -57,34 +57,46 @@ def running_totals(
 
 
 def with_balanced_blocks(
-    counts: DataFrame,
-    value: str,
-    totals: Sequence[str],
-    by: Sequence[str] = (),
-    blocks: int = 128,
+    counts: DataFrame, value: str, totals: Sequence[str], by: Sequence[str] = (), fan: int = 32
 ) -> DataFrame:
     """Add ``_block`` (rising with ``value``, about equally many rows each) and group totals.
 
-    ``counts`` holds one row per (by, value), so no value repeats and a sketch of the values yields
-    even blocks whatever the skew of the raw rows. ``_total_<c>`` is the sum of each column in
-    ``totals`` over the ``by`` group. ``by`` must be a report dimension (measure, model, ...) named
-    by the caller: the marks are then a handful of rows, each with an array of ``blocks - 1``
-    numbers, which is what makes it safe to broadcast them.
+    There are ``fan`` squared blocks. ``counts`` holds one row per (by, value), so no value repeats
+    and a sketch of the values yields even blocks whatever the skew of the raw rows; results do not
+    depend on where the borders fall. ``_total_<c>`` is the sum of each column in ``totals`` over
+    the ``by`` group. ``by`` must be a report dimension (measure, model, ...) named by the caller:
+    the borders are then a handful of rows, each with an array of ``fan * fan - 1`` numbers, which
+    is what makes it safe to broadcast them.
     """
-    probes = ", ".join(f"{i / blocks}D" for i in range(1, blocks))
+    blocks = fan * fan
+    # One text literal instead of a thousand expressions keeps the plan small.
+    probes = ",".join(repr(i / blocks) for i in range(1, blocks))
     # Naming a total here keeps this branch's input identical to the main one, so that the
     # exchange below it is computed once and reused.
-    marked = F.expr(
-        f"percentile_approx(CASE WHEN {totals[0]} >= 0 THEN {value} END, array({probes}), 10000)"
+    borders = F.expr(
+        f"percentile_approx(CASE WHEN {totals[0]} >= 0 THEN {value} END, "
+        f"cast(split('{probes}', ',') AS array<double>), {4 * blocks})"
     )
-    extra = [marked.alias("_marks"), *[F.sum(c).alias(f"_total_{c}") for c in totals]]
+    extra = [borders.alias("_fine"), *[F.sum(c).alias(f"_total_{c}") for c in totals]]
+    coarse = F.transform(
+        F.sequence(F.lit(1), F.lit(fan - 1)), lambda i: F.element_at("_fine", i * fan)
+    ).alias("_coarse")
     if by:
-        joined = counts.join(F.broadcast(counts.groupBy(*by).agg(*extra)), list(by))
+        borders_by_group = counts.groupBy(*by).agg(*extra).select("*", coarse)
+        joined = counts.join(F.broadcast(borders_by_group), list(by))
     else:
-        packed = counts.agg(F.struct(*extra).alias("_g")).scalar()
-        joined = counts.select("*", packed.alias("_g")).select(*counts.columns, "_g.*")
-    here = F.size(F.filter("_marks", lambda mark: mark <= F.col(value)))
-    return joined.withColumn("_block", here).drop("_marks")
+        joined = with_single_row(counts, counts.agg(*extra).select("*", coarse))
+    # Two short searches find the block: first among every fan-th border, then between two of them.
+    joined = joined.withColumn("_at", F.size(F.filter("_coarse", lambda m: m <= F.col(value))))
+    inside = F.slice("_fine", F.col("_at") * fan + 1, F.lit(fan - 1))
+    here = F.col("_at") * fan + F.size(F.filter(inside, lambda m: m <= F.col(value)))
+    return joined.withColumn("_block", here).drop("_fine", "_coarse", "_at")
+
+
+def with_single_row(df: DataFrame, row: DataFrame) -> DataFrame:
+    """Add the columns of a one-row frame (a global aggregate) to every row, without a join."""
+    packed = row.select(F.struct(*row.columns).alias("_row")).scalar()
+    return df.withColumn("_row", packed).select(*df.columns, "_row.*")
 
 
 def top_per_key(

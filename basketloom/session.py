@@ -60,3 +60,9 @@ def shared_dir(spark: SparkSession) -> str:
         _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="basketloom-")
         context.setCheckpointDir(_local_dirs[context.applicationId])
     return _local_dirs[context.applicationId]
+
+
+def ensure_checkpoints(spark: SparkSession) -> None:
+    """Let iterative fits cut their lineage in the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))

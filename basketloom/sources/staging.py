@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,12 +25,14 @@ class Stage:
         self.root = f"{shared_dir(spark)}/{name}-{app}-{uuid.uuid4().hex[:8]}"
         self._frames: dict[str, DataFrame] = {}
 
-    def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def table(
+        self, name: str, build: Callable[[], DataFrame], partition_by: Sequence[str] = ()
+    ) -> DataFrame:
         """The table called ``name``, built and written on first use."""
         if name not in self._frames:
             path = f"{self.root}/{name}"
             built = build()
-            built.write.mode("overwrite").parquet(path)
+            built.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
             # The schema is known, so reading back needs no inference job.
             self._frames[name] = self.spark.read.schema(built.schema).parquet(path)
         return self._frames[name]
@@ -60,7 +62,8 @@ class WarehouseStage(Stage):
             raw = self.spark.read.parquet(f"{self.folder}/lineitem.parquet")
             return warehouse_lines(raw, self.orders)
 
-        return self.table("lines", build)
+        # Prior and train lines are read apart: a folder each, so neither scan touches the other.
+        return self.table("lines", build, partition_by=["eval_set"])
 
     @property
     def prior(self) -> DataFrame:
