@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import substring_dedup
+from . import ngram_jaccard, substring_dedup
 
-MODULES = [substring_dedup]
+MODULES = [ngram_jaccard, substring_dedup]
 
 
 def queries() -> dict:
