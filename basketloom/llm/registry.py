@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import ngram_jaccard, substring_dedup
+from . import decontamination, language_id, ngram_jaccard, substring_dedup
 
-MODULES = [ngram_jaccard, substring_dedup]
+MODULES = [language_id, decontamination, ngram_jaccard, substring_dedup]
 
 
 def queries() -> dict:

@@ -17,6 +17,10 @@ from ..session import shared_dir, use_sql_defaults
 SLICE_BYTES = 1 << 20
 
 
+# Rows of an Arrow batch: texts may be long, and a task holds a batch at a time.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "2000"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: its lineage ends here."""
     spark = df.sparkSession
@@ -28,6 +32,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     """A table of the given folder, with the session settings that the operators count on."""
     use_sql_defaults(spark)
+    if not spark.sparkContext.getConf().contains(BATCH_ROWS[0]):
+        spark.conf.set(*BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
