@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .connected import components
-from .shared import mix, slices, span_hashes, spread, written
+from .shared import mix, row_key, slices, span_hashes, spread, written
 
 SHINGLE = 5
 PERCENT = 80
@@ -112,12 +112,12 @@ def needed(size, percent: int):
 
 
 def _prefixes(width: int, percent: int, levels):
-    names = ["doc_id", "size", "class", "matches", "tokens"]
+    names = ["doc_id", "row_key", "size", "class", "matches", "tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = levels.value
         for batch in batches:
-            ids = batch.column("doc_id")
+            ids, keys = batch.column("doc_id"), batch.column("row_key")
             for rows, words in slices(batch, lower=True):
                 values, owner, size = ordered(words, width, table)
                 first = np.cumsum(size) - size
@@ -134,6 +134,7 @@ def _prefixes(width: int, percent: int, levels):
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(rows.start, rows.stop - rows.start),
+                        keys.slice(rows.start, rows.stop - rows.start),
                         pa.array(size.astype(np.int32)),
                         pa.array(class_ids(values, size).view(np.int64)),
                         pa.array(matches.astype(np.int32)),
@@ -212,8 +213,34 @@ def _required(n: Column, m: Column, percent: int) -> Column:
     return F.ceil(percent * (n + m) / F.lit(100 + percent))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose sets are similar enough."""
+def _possible(size_a: str, place_a: str, size_b: str, place_b: str, percent: int) -> Column:
+    """Whether sets that share the shingles at these places can be similar.
+
+    They have at most as many in common before the shingle as the smaller place says, and after it
+    as the smaller rest. Where the rest is too short the sizes are too far apart as well.
+    """
+    n, i, m, j = (F.col(c) for c in (size_a, place_a, size_b, place_b))
+    return F.least(i, j) + F.least(n - i, m - j) >= _required(n, m, percent)
+
+
+def verified(
+    pairs: DataFrame, classes: DataFrame, source: DataFrame, width: int, percent: int, levels
+) -> DataFrame:
+    """The pairs (a, b) of classes whose sets are similar enough.
+
+    Only one text of every class in ``pairs`` is turned into a set again.
+    """
+    involved = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    texts = involved.join(classes, "class").select(
+        F.col("row.doc_id").alias("d"), F.col("row.row_key").alias("k")
+    )
+    same = source.doc_id.eqNullSafe(texts.d) & (source.row_key == texts.k)
+    sets = written(
+        source.join(texts, same, "left_semi")
+        .select("text")
+        .mapInArrow(_sets(width, levels), "class long, shingles array<long>"),
+        "sets",
+    )
     left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("set_b"))
     return (
@@ -233,10 +260,12 @@ def join_similar(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT)
     ignored. Sets are compared as 64-bit hashes of their shingles.
     """
     levels = frequency_order(docs, width)
-    source = docs.select("doc_id", "text")
-    scheme = "doc_id long, size int, class long, matches int, tokens array<long>"
+    source = docs.select("doc_id", row_key().alias("row_key"), "text")
+    scheme = "doc_id long, row_key int, size int, class long, matches int, tokens array<long>"
     prefixed = written(source.mapInArrow(_prefixes(width, percent, levels), scheme), "prefixes")
-    classes = prefixed.where("size > 0").groupBy("class").agg(F.min("doc_id").alias("lead"))
+    classes = prefixed.where("size > 0").groupBy("class").agg(
+        F.min("doc_id").alias("lead"), F.min(F.struct("doc_id", "row_key")).alias("row")
+    )
 
     posting = prefixed.select(
         "class", "size", "matches", F.posexplode("tokens").alias("place", "token")
@@ -249,17 +278,6 @@ def join_similar(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT)
         "postings",
     )
 
-    # The texts of all classes that share a prefix shingle with another, as sets.
-    involved = shared.select("class").distinct().join(classes, "class").select(
-        F.col("lead").alias("doc_id")
-    )
-    sets = written(
-        source.join(involved.distinct(), "doc_id", "left_semi")
-        .mapInArrow(_sets(width, levels), "class long, shingles array<long>")
-        .dropDuplicates(["class"]),
-        "sets",
-    )
-
     # First pass. The most central class has the most company over its prefix.
     company = shared.groupBy("token").agg(F.count(F.lit(1)).alias("company"))
     central = (
@@ -269,18 +287,17 @@ def join_similar(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT)
     )
     weighed = shared.join(central, "class")
     hubs = weighed.groupBy("token").agg(
-        F.max(F.struct("weight", "class", "size")).alias("hub")
-    )
-    near = (F.col("size") * 100 >= F.col("hub.size") * percent) & (
-        F.col("hub.size") * 100 >= F.col("size") * percent
+        F.max(F.struct("weight", "class", "size", "place")).alias("hub")
     )
-    proposals = (
+    proposals = written(
         shared.join(hubs, "token")
-        .where(near & (F.col("class") != F.col("hub.class")))
+        .where(F.col("class") != F.col("hub.class"))
+        .where(_possible("size", "place", "hub.size", "hub.place", percent))
         .select(F.col("class").alias("a"), F.col("hub.class").alias("b"))
-        .distinct()
+        .distinct(),
+        "proposals",
     )
-    links = written(verified(proposals, sets, percent), "links")
+    links = written(verified(proposals, classes, source, width, percent, levels), "links")
     labels = components(links)
 
     # Second pass: only pairs across components; the largest one of a token is not paired in itself.
@@ -301,16 +318,17 @@ def join_similar(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT)
     )
     two = several.select("token", *[F.col(c).alias(f"{c}_b") for c in side])
     at_least = _required(F.col("size_a"), F.col("size_b"), percent)
-    rest = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
     candidates = (
         one.join(
             two,
             (one.token == two.token)
             & (F.col("root_a") != F.col("root_b"))
             & ((F.col("root_b") == F.col("top")) | (F.col("class_a") < F.col("class_b")))
-            & (F.least("place_a", "place_b") + rest >= at_least),
+            & _possible("size_a", "place_a", "size_b", "place_b", percent),
+        )
+        .groupBy(
+            F.least("class_a", "class_b").alias("a"), F.greatest("class_a", "class_b").alias("b")
         )
-        .groupBy(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
         .agg(
             F.count(F.lit(1)).alias("shared"),
             F.first("size_a").alias("size_a"),
@@ -320,7 +338,9 @@ def join_similar(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT)
         .where(F.col("shared") >= F.least("matches", at_least))
         .select("a", "b")
     )
-    more = verified(candidates, sets, percent)
+    more = verified(
+        written(candidates, "candidates"), classes, source, width, percent, levels
+    )
     linked = components(links.unionByName(more))
 
     lead = linked.join(classes.withColumnRenamed("class", "node"), "node").groupBy("root").agg(
