@@ -223,6 +223,28 @@ def _possible(size_a: str, place_a: str, size_b: str, place_b: str, percent: int
     return F.least(i, j) + F.least(n - i, m - j) >= _required(n, m, percent)
 
 
+def _enough(percent: int) -> Column:
+    """Whether two sets (n, m) with ``shared`` common prefix shingles can be similar.
+
+    One of the two prefixes ends first, and all of its common shingles have been counted then; the
+    rest of that set is all that can be common besides. So for what follows the last common one.
+    """
+    n, m = F.col("n"), F.col("m")
+
+    def beyond(size: Column, matches: str) -> Column:
+        return F.ceil(size * percent / F.lit(100)) - F.col(matches)
+
+    after = F.greatest(beyond(n, "matches_n"), beyond(m, "matches_m"), F.lit(0))
+    last = F.least(n - F.col("last_n"), m - F.col("last_m")) - 1
+    common = F.col("shared")
+    needed_both = _required(n, m, percent)
+    return (
+        (common >= F.least("matches_n", "matches_m", needed_both))
+        & (common + after >= needed_both)
+        & (common + last >= needed_both)
+    )
+
+
 def verified(
     pairs: DataFrame, classes: DataFrame, source: DataFrame, width: int, percent: int, levels
 ) -> DataFrame:
@@ -287,14 +309,26 @@ def join_similar(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT)
     )
     weighed = shared.join(central, "class")
     hubs = weighed.groupBy("token").agg(
-        F.max(F.struct("weight", "class", "size", "place")).alias("hub")
+        F.max(F.struct("weight", "class", "size", "place", "matches")).alias("hub")
     )
     proposals = written(
         shared.join(hubs, "token")
         .where(F.col("class") != F.col("hub.class"))
         .where(_possible("size", "place", "hub.size", "hub.place", percent))
-        .select(F.col("class").alias("a"), F.col("hub.class").alias("b"))
-        .distinct(),
+        .groupBy(F.col("class").alias("a"), F.col("hub.class").alias("b"))
+        .agg(
+            F.count(F.lit(1)).alias("shared"),
+            F.first("size").alias("n"),
+            F.first("hub.size").alias("m"),
+            F.first("matches").alias("matches_n"),
+            F.first("hub.matches").alias("matches_m"),
+            F.max("place").alias("last_n"),
+            F.max("hub.place").alias("last_m"),
+        )
+        # Shingles with another hub are not counted, so this may pass over links: the second pass
+        # finds them.
+        .where(_enough(percent))
+        .select("a", "b"),
         "proposals",
     )
     links = written(verified(proposals, classes, source, width, percent, levels), "links")
@@ -317,7 +351,10 @@ def join_similar(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT)
         "token", "top", *[F.col(c).alias(f"{c}_a") for c in side]
     )
     two = several.select("token", *[F.col(c).alias(f"{c}_b") for c in side])
-    at_least = _required(F.col("size_a"), F.col("size_b"), percent)
+
+    def pick(first: str, second: str) -> Column:
+        return F.when(F.col("class_a") < F.col("class_b"), F.col(first)).otherwise(F.col(second))
+
     candidates = (
         one.join(
             two,
@@ -331,11 +368,18 @@ def join_similar(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT)
         )
         .agg(
             F.count(F.lit(1)).alias("shared"),
-            F.first("size_a").alias("size_a"),
-            F.first("size_b").alias("size_b"),
-            F.least(F.first("matches_a"), F.first("matches_b")).alias("matches"),
+            *[
+                F.first(pick(f"{c}_a", f"{c}_b")).alias(out_a)
+                for c, out_a in (("size", "n"), ("matches", "matches_n"))
+            ],
+            *[
+                F.first(pick(f"{c}_b", f"{c}_a")).alias(out_b)
+                for c, out_b in (("size", "m"), ("matches", "matches_m"))
+            ],
+            F.max(pick("place_a", "place_b")).alias("last_n"),
+            F.max(pick("place_b", "place_a")).alias("last_m"),
         )
-        .where(F.col("shared") >= F.least("matches", at_least))
+        .where(_enough(percent))
         .select("a", "b")
     )
     more = verified(
