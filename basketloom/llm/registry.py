@@ -2,9 +2,23 @@
 
 from __future__ import annotations
 
-from . import decontamination, language_id, ngram_jaccard, piece_codec, substring_dedup
-
-MODULES = [language_id, piece_codec, decontamination, ngram_jaccard, substring_dedup]
+from . import (
+    decontamination,
+    language_id,
+    ngram_jaccard,
+    piece_codec,
+    substring_dedup,
+    token_blocks,
+)
+
+MODULES = [
+    language_id,
+    piece_codec,
+    decontamination,
+    token_blocks,
+    ngram_jaccard,
+    substring_dedup,
+]
 
 
 def queries() -> dict:
