@@ -8,6 +8,7 @@ from . import (
     ngram_jaccard,
     piece_codec,
     substring_dedup,
+    suffix_tree_lm,
     token_blocks,
 )
 
@@ -18,6 +19,7 @@ MODULES = [
     token_blocks,
     ngram_jaccard,
     substring_dedup,
+    suffix_tree_lm,
 ]
 
 
