@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import (
     decontamination,
     language_id,
+    merkle,
     ngram_jaccard,
     piece_codec,
     substring_dedup,
@@ -14,6 +15,7 @@ from . import (
 
 MODULES = [
     language_id,
+    merkle,
     piece_codec,
     decontamination,
     token_blocks,
