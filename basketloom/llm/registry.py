@@ -8,6 +8,7 @@ from . import (
     merkle,
     ngram_jaccard,
     piece_codec,
+    quotes,
     substring_dedup,
     suffix_tree_lm,
     token_blocks,
@@ -17,6 +18,7 @@ MODULES = [
     language_id,
     merkle,
     piece_codec,
+    quotes,
     decontamination,
     token_blocks,
     ngram_jaccard,
