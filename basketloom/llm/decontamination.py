@@ -133,6 +133,14 @@ def mark_leaks(
     )
 
 
+def drop_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``docs`` without the documents in which a window of an item occurs."""
+    _, _, found = find_leaks(docs, items, window)
+    leaks = found.select(F.col("doc_id").alias("_d"), F.col("row_key").alias("_k")).distinct()
+    same = docs.doc_id.eqNullSafe(leaks._d) & (row_key() == leaks._k)
+    return docs.join(leaks, same, "left_anti")
+
+
 def op6_decontamination(spark, sf_dir: str) -> DataFrame:
     from .shared import documents
 

@@ -336,6 +336,12 @@ def identify(docs: DataFrame, model: KneserNey | None) -> DataFrame:
     return docs.withColumn("language", predictor(docs.sparkSession, model)("text"))
 
 
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """``docs`` without the texts that models learned from its own labels reject."""
+    verdict = predictor(docs.sparkSession, train(docs))("text")
+    return docs.withColumn("_language", verdict).where("not _language.rejected").drop("_language")
+
+
 def op2_language_id(spark, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = fold("doc_id", 4) == 2

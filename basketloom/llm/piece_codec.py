@@ -19,6 +19,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .shared import documents
 
@@ -206,9 +208,7 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
 
     The text is the input of the encoding, but for U+2581, which comes back as a blank.
     """
-    from pyspark.sql import types as T
-
-    schema = T.StructType(encoded.schema.fields).add("decoded", T.StringType())
+    schema = StructType([*encoded.schema.fields, StructField("decoded", StringType())])
     return encoded.mapInArrow(_decode(model_path), schema)
 
 
@@ -220,8 +220,6 @@ def default_model() -> str:
 
 def op4_sentencepiece(spark, sf_dir: str) -> DataFrame:
     """Ids of every document, and the digest of the text decoded from them."""
-    from pyspark.sql import functions as F
-
     path = default_model()
     coded = decode(encode(documents(spark, sf_dir), path), path)
     return coded.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))

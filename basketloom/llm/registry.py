@@ -12,6 +12,7 @@ from . import (
     substring_dedup,
     suffix_tree_lm,
     token_blocks,
+    wrapper,
 )
 
 MODULES = [
@@ -21,6 +22,7 @@ MODULES = [
     quotes,
     decontamination,
     token_blocks,
+    wrapper,
     ngram_jaccard,
     substring_dedup,
     suffix_tree_lm,

@@ -339,6 +339,25 @@ def remove_repeats(
     )
 
 
+def replace_repeats(docs: DataFrame, window: int = WINDOW, mmer: int = MMER) -> DataFrame:
+    """``docs`` with repeated passages removed from ``text``, and ``n_chars`` set where present.
+
+    Texts that lose nothing keep their white space.
+    """
+    changed = (
+        remove_repeats(docs, window, mmer)
+        .where("n_removed > 0")
+        .dropDuplicates(["doc_id", "row_key"])
+        .select(F.col("doc_id").alias("_d"), F.col("row_key").alias("_k"), F.col("kept_text").alias("_t"))
+    )
+    joined = docs.join(changed, (docs.doc_id == changed._d) & (row_key() == changed._k), "left")
+    text = F.coalesce("_t", "text")
+    columns = {"text": text, "n_chars": F.when(F.col("_t").isNull(), docs["n_chars"]).otherwise(
+        F.length("_t")
+    )} if "n_chars" in docs.columns else {"text": text}
+    return joined.select(*[columns.get(c, docs[c]).alias(c) for c in docs.columns])
+
+
 def op10_substring_dedup(spark, sf_dir: str) -> DataFrame:
     from .shared import documents
 
