@@ -42,6 +42,8 @@ STOP, END = 0x20, b"\x0a"
 SYMBOLS = 256
 # Symbols of the token before, and of the token itself, that contexts over the stop are counted for.
 TAIL, HEAD = 5, 3
+# n-grams that a task adds up before it hands them on.
+MOST_GRAMS = 1_000_000
 STREAM_BYTES = 1 << 20
 LANE = 512
 
@@ -129,52 +131,53 @@ def _borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+def _counted(grams: Iterator[tuple[bytes, int]]) -> Iterator[pa.RecordBatch]:
+    """Sums of a task's n-grams, in batches of bounded size."""
+    seen: dict[bytes, int] = {}
+
+    def out() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())], ["gram", "n"]
+        )
+
+    for gram, n in grams:
+        seen[gram] = seen.get(gram, 0) + n
+        if len(seen) > MOST_GRAMS:
+            yield out()
+            seen = {}
+    if seen:
+        yield out()
+
+
 def _border_contexts(depth: int):
     """Counted token borders -> counts of (context, symbol) for contexts over the stop."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, int]]:
         for batch in batches:
-            seen: dict[bytes, int] = {}
-            key = batch.column("key").to_numpy()
-            body = key.tobytes()
+            body = batch.column("key").to_numpy().tobytes()
             for i, n in enumerate(batch.column("n").to_pylist()):
                 raw = body[8 * i : 8 * i + 8]
                 tail = raw[:TAIL].lstrip(b"\0")
                 line = tail + b" " + raw[TAIL:].rstrip(b"\0")
                 for end in range(len(tail) + 2, len(line) + 1):
                     for start in range(max(0, end - 1 - depth), len(tail)):
-                        gram = line[start:end]
-                        seen[gram] = seen.get(gram, 0) + n
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())],
-                ["gram", "n"],
-            )
+                        yield line[start:end], n
 
-    return run
+    return lambda batches: _counted(grams(batches))
 
 
 def _contexts(depth: int):
     """Counted words -> counts of (context, symbol) for contexts of 0 .. depth symbols."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, int]]:
         for batch in batches:
-            for low in range(0, len(batch), 5000):
-                part = batch.slice(low, 5000)
-                seen: dict[bytes, int] = {}
-                for word, n in zip(
-                    part.column("word").to_pylist(), part.column("n").to_pylist()
-                ):
-                    marked = b" " + word + b" "
-                    for end in range(2, len(marked) + 1):
-                        for start in range(max(0, end - 1 - depth), end):
-                            gram = marked[start:end]
-                            seen[gram] = seen.get(gram, 0) + n
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())],
-                    ["gram", "n"],
-                )
+            for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
+                marked = b" " + word + b" "
+                for end in range(2, len(marked) + 1):
+                    for start in range(max(0, end - 1 - depth), end):
+                        yield marked[start:end], n
 
-    return run
+    return lambda batches: _counted(grams(batches))
 
 
 class SuffixTree:

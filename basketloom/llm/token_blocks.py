@@ -12,6 +12,7 @@ Checkpoints hold the states in mid-block: decoding may start at any of them.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -30,7 +31,8 @@ BITS = 22
 LOW = np.uint64(1 << 31)
 # Steps between two checkpoints.
 CHECKPOINT = 128
-REMEMBERED = 300_000
+# Distinct parts of texts in each of the two generations that a task remembers.
+REMEMBERED = 400_000
 MAGIC = b"TKB1"
 _tokenizers: dict[str, tuple] = {}
 
@@ -142,9 +144,11 @@ def decode_block(frame: bytes, table: Frequencies, first: int = 0, last: int | N
 
 def _tokenizer(path: str) -> tuple:
     if path not in _tokenizers:
+        # A task has one core; threads of the library would only contend for it.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = Tokenizer.from_file(path), {}
+        _tokenizers[path] = Tokenizer.from_file(path), [{}, {}]
     return _tokenizers[path]
 
 
@@ -154,12 +158,16 @@ def ids_of(texts: list[str | None], path: str, end: int) -> list[np.ndarray]:
     This tokenizer drops white space and never joins what it parts, so a text's ids are those of its
     parts, and every distinct part is encoded once.
     """
-    tokenizer, known = _tokenizer(path)
-    if len(known) > REMEMBERED:
-        known.clear()
+    tokenizer, generations = _tokenizer(path)
+    if len(generations[0]) > REMEMBERED:
+        # What the next texts use again moves over from the old generation, the rest goes with it.
+        generations[:] = {}, generations[0]
+    known, old = generations
     # Bytes part at ASCII white space alone, all of which the tokenizer drops.
     split = [(t or "").encode().split() for t in texts]
-    new = list({w for s in split for w in s if w not in known})
+    missing = {w for s in split for w in s if w not in known}
+    known.update((w, old[w]) for w in missing if w in old)
+    new = [w for w in missing if w not in known]
     for low in range(0, len(new), 10_000):
         part = new[low : low + 10_000]
         texts = [w.decode() for w in part]
