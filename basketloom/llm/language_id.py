@@ -69,7 +69,7 @@ class KneserNey:
         p = np.full((len(codes), len(self.languages)), self.floor)
         h = np.zeros(len(codes), np.uint64)
         before = np.zeros(len(codes), np.uint64)  # hash of the same gram without its last symbol
-        for k in range(1, len(self.grams) + 1):
+        for k in range(1, min(len(self.grams), len(codes)) + 1):
             at = np.flatnonzero(place >= max(k - 1, 1))
             p[at] *= _find(self.contexts[k - 1], before[at], 1.0)
             h[k - 1 :] = _extend(h[k - 1 :], codes[: len(codes) - k + 1])

@@ -273,7 +273,8 @@ def verified(
 
 
 def join_similar(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Per document: doc_id, row_key, n_shingles, component_id (smallest doc_id reachable by links).
+    """Per document: doc_id, row_key, n_shingles, component_id (smallest doc_id reachable by links),
+    group (the same for linked rows, null without words).
 
     A set holds the distinct ``width``-word shingles of the text with A-Z in lower case; a text of
     fewer words is one shingle, a null text or one without words has none and stands alone. Two
@@ -393,7 +394,11 @@ def join_similar(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT)
     by_class = (
         classes.join(linked.withColumnRenamed("node", "class"), "class", "left")
         .join(lead, "root", "left")
-        .select("class", F.coalesce("component", "lead").alias("component"))
+        .select(
+            "class",
+            F.coalesce("component", "lead").alias("component"),
+            F.coalesce("root", "class").alias("group"),
+        )
     )
     return (
         prefixed.select("doc_id", "row_key", "size", "class")
@@ -403,6 +408,7 @@ def join_similar(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT)
             "row_key",
             F.col("size").cast("long").alias("n_shingles"),
             F.coalesce("component", "doc_id").alias("component_id"),
+            "group",
         )
     )
 
@@ -410,31 +416,29 @@ def join_similar(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT)
 def keep_one(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of every group of linked ones: that with the smallest doc_id.
 
-    Rows without words or without doc_id stay; of rows that repeat a kept doc_id with a linked text
+    Rows without words stay; of a group that has no doc_id one row stays; of rows that repeat a kept doc_id with a linked text
     one stays.
     """
     found = join_similar(docs, width, percent)
-    alone = (F.col("n_shingles") == 0) | F.col("component_id").isNull()
+    # Every row without words is a group by itself.
+    itself = F.when(F.col("group").isNull(), F.struct("doc_id", "row_key"))
+    first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key")
     keep = (
-        found.where(alone | (F.col("doc_id") == F.col("component_id")))
-        .groupBy(
-            F.when(~alone, F.col("component_id")).alias("group"),
-            F.when(alone, F.struct("doc_id", "row_key")).alias("itself"),
-        )
-        .agg(F.min(F.struct("doc_id", "row_key")).alias("row"))
+        found.groupBy("group", itself.alias("itself"))
+        .agg(F.min(first).alias("row"))
         .select(F.col("row.doc_id").alias("d"), F.col("row.row_key").alias("k"))
     )
     keyed = docs.withColumn("_key", row_key())
     kept = keyed.join(keep, keyed.doc_id.eqNullSafe(keep.d) & (keyed._key == keep.k), "left_semi")
     # Rows equal in doc_id and text lie in one partition by now; those without words stay.
-    copy = F.when(F.col("doc_id").isNull() | (F.trim(F.coalesce("text", F.lit(""))) == ""), F.expr("uuid()"))
+    copy = F.when(~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]"), F.expr("uuid()"))
     return kept.withColumn("_copy", copy).dropDuplicates(["doc_id", "_key", "_copy"]).drop("_key", "_copy")
 
 
 def op9_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
     from .shared import documents
 
-    return join_similar(documents(spark, sf_dir)).drop("row_key")
+    return join_similar(documents(spark, sf_dir)).drop("row_key", "group")
 
 
 # Registered without SQL: a self-join on all shingles is too slow on whole tables. Tests hold the

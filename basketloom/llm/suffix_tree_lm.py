@@ -32,10 +32,10 @@ from .shared import documents, fold, row_key, written
 DEPTH = 7
 LEAST_SHARE = 5e-6
 # Nats that a context must save over its suffix to be kept, per distinct next symbol.
-THRESHOLD = 2.0
-# Weight of the shorter suffix's distribution, in observations.
+THRESHOLD = 4.0
+# Weight of the shorter suffix's distribution, in observations for each distinct next symbol.
 PRIOR = 1.0
-WORD_SHARE = 0.3
+WORD_SHARE = 0.2
 BLOCK_CHARS = 8 << 20
 # The stop symbol cannot occur inside a word, the end token is no word.
 STOP, END = 0x20, b"\x0a"
@@ -197,11 +197,12 @@ class SuffixTree:
             at = np.fromiter(counts[context].keys(), np.int64)
             n = np.fromiter(counts[context].values(), np.float64)
             total = n.sum()
-            gain = (n * np.log(n / total / parent[at])).sum()
+            gain = (n * np.log(n / max(total, 1) / parent[at])).sum()
             if context and gain < threshold * len(at):
                 continue
-            own = parent * (prior / (total + prior))
-            own[at] += n / (total + prior)
+            weight = max(prior * len(at), 1.0)
+            own = parent * (weight / (total + weight))
+            own[at] += n / (total + weight)
             smooth[context] = own
         # States also need every prefix of a kept context, to walk there symbol by symbol.
         states = {c[:i] for c in smooth for i in range(len(c) + 1)}

@@ -134,7 +134,11 @@ def decode_block(frame: bytes, table: Frequencies, first: int = 0, last: int | N
         word += len(low)
         state[:k] = own
     out = out[: min(n, stop * lanes) - begin * lanes]
-    if first == 0 and last == len(points) and zlib.crc32(out.astype("<u4").tobytes()) != crc:
+    # A whole block ends in the states that its coders began with.
+    whole = first == 0 and last == len(points)
+    if whole and ((state != LOW).any() or word != count):
+        raise ValueError("a block of token ids is damaged")
+    if whole and zlib.crc32(out.astype("<u4").tobytes()) != crc:
         raise ValueError("a block of token ids is damaged")
     return out
 
