@@ -27,7 +27,7 @@ ORDER = 5
 SAMPLE_ROWS = 3000
 CALIBRATION_ROWS = 600
 # Distinct words that a task remembers.
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 START, STOP = "\x02", "\x03"
 WORD = r"\p{L}[\p{L}\p{M}]*"
 UNDETERMINED = "und"

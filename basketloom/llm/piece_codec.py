@@ -26,7 +26,7 @@ from .shared import documents
 
 MARK = "\u2581"
 # Distinct words, and pairs of pieces, that a task remembers.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 _loaded: dict[str, Codec] = {}
 
 

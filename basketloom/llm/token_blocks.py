@@ -32,7 +32,7 @@ LOW = np.uint64(1 << 31)
 # Steps between two checkpoints.
 CHECKPOINT = 128
 # Distinct parts of texts in each of the two generations that a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 MAGIC = b"TKB1"
 _tokenizers: dict[str, tuple] = {}
 
