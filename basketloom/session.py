@@ -47,13 +47,17 @@ def use_sql_defaults(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can read and write.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session that has none
+    The cluster names it in ``spark.checkpoint.dir``; failing that, the folder that the caller has
+    set for checkpoints counts. Only a local session that has none
     falls back to a temporary folder; on a cluster a missing setting is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
+    given = context.getCheckpointDir()
+    if given:
+        return given.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if context.applicationId not in _local_dirs:
