@@ -23,14 +23,14 @@ COMMON = {
                          else date_diff('day', prev, o_orderdate) // 10 end as double)
                    as days_since_prior_order
         from ord_base""",
-    "fold": """
-        select l_orderkey as order_id, l_partkey % 100 as product_id, min(l_linenumber) as ln
+    "merged": """
+        select l_orderkey as order_id, l_partkey as product_id, min(l_linenumber) as ln
         from lineitem group by 1, 2""",
     "placed": """
         select f.order_id, f.product_id, f.ln, o.user_id, o.order_number, o.eval_set,
                row_number() over (partition by f.order_id order by f.ln, f.product_id) as cart,
                min(o.order_number) over (partition by o.user_id, f.product_id) as first_number
-        from fold f join ord o on o.order_id = f.order_id where o.eval_set <> 'test'""",
+        from merged f join ord o on o.order_id = f.order_id where o.eval_set <> 'test'""",
     "line": """
         select order_id, product_id, cast(cart as integer) as add_to_cart_order,
                cast(order_number > first_number as integer) as reordered, eval_set as source
@@ -39,16 +39,14 @@ COMMON = {
     "train_line": "select * exclude (source) from line where source = 'train'",
     "typed_part": """
         select *, cast(split_part(p_brand, '#', 2) as integer) as aisle_id,
-               cast(case p_type when 'ECONOMY' then 1 when 'LARGE' then 2 when 'MEDIUM' then 3
-                    when 'PROMO' then 4 when 'SMALL' then 5 when 'STANDARD' then 6 end as integer)
-                   as department_id from part""",
+               cast(case when p_type is not null then dense_rank() over (order by p_type) end
+                    as integer) as department_id from part""",
     "prod": """
-        select p_partkey % 100 as product_id, p_name as product_name, aisle_id, department_id
-        from typed_part
-        where p_partkey in (select min(p_partkey) from part group by p_partkey % 100)""",
+        select p_partkey as product_id, p_name as product_name, aisle_id, department_id
+        from typed_part""",
     "ais": """
-        select distinct aisle_id, case when aisle_id = 7 then ' Missing ' else lower(p_brand) end
-               as aisle from typed_part""",
+        select aisle_id, min(case when aisle_id = 7 then ' Missing ' else lower(p_brand) end)
+               as aisle from typed_part group by 1""",
     "dep": "select distinct department_id, lower(p_type) as department from typed_part",
     "bad": """
         select p.product_id from prod p join ais a using (aisle_id) join dep d using (department_id)

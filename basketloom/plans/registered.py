@@ -23,7 +23,6 @@ THRESHOLDS = [0.05, 0.1, 0.2, 0.3, 0.5]
 SCORE_MODELS = ["frequency", "recency", "repeat"]
 SCORE_PREFERENCE = ["recency", "frequency"]
 TREE_ROUNDS = 10
-RESTARTS = 2
 
 _QUERIES: dict[str, Query] = {}
 
@@ -622,7 +621,7 @@ def _segment_features(s: WarehouseStage) -> DataFrame:
 
 def _segments(s: WarehouseStage) -> DataFrame:
     return s.table(
-        "segments", lambda: seg.user_segments(_segment_features(s), restarts=RESTARTS)
+        "segments", lambda: seg.user_segments(_segment_features(s))
     )
 
 
@@ -643,12 +642,12 @@ def segment_features_scaled(s: WarehouseStage) -> DataFrame:
 @query
 def segments_elbow(s: WarehouseStage) -> DataFrame:
     scaled = seg.scaled_segment_features(_segment_features(s))
-    return seg.elbow_table(scaled, restarts=RESTARTS)
+    return seg.elbow_table(scaled)
 
 
 @query
 def user_segments(s: WarehouseStage) -> DataFrame:
-    return seg.user_segments(_segment_features(s), restarts=RESTARTS)
+    return seg.user_segments(_segment_features(s))
 
 
 @query

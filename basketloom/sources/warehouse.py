@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from ..schemas import Tables
 
 # Fixed values of the derivation.
-CATALOG_SIZE = 100
-PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 NAMELESS_BRAND = 7
 NAMELESS_AISLE = " Missing "
 KEYS_PER_BLOCK = 1 << 20
@@ -71,20 +69,18 @@ def warehouse_orders(raw: DataFrame) -> DataFrame:
 
 
 def warehouse_lines(raw: DataFrame, orders: DataFrame) -> DataFrame:
-    """Order lines folded onto the catalogue, with cart position, repeat flag and eval_set.
+    """One line per order and part, with cart position, repeat flag and eval_set.
 
-    An order keeps at most ``CATALOG_SIZE`` lines after the fold, which bounds the cart window.
     The first purchase of a pair is a partial aggregate joined back, not a window over the pair.
     """
-    folded = raw.groupBy(
-        F.col("l_orderkey").alias("order_id"),
-        (F.col("l_partkey") % CATALOG_SIZE).alias("product_id"),
+    merged = raw.groupBy(
+        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id")
     ).agg(F.min("l_linenumber").alias("line_number"))
     cart = Window.partitionBy("order_id").orderBy("line_number", "product_id")
     known = orders.where(F.col("eval_set") != "test").select(
         "order_id", "user_id", "order_number", "eval_set"
     )
-    lines = folded.withColumn("add_to_cart_order", F.row_number().over(cart)).join(known, "order_id")
+    lines = merged.withColumn("add_to_cart_order", F.row_number().over(cart)).join(known, "order_id")
     first = lines.groupBy("user_id", "product_id").agg(F.min("order_number").alias("first_number"))
     return lines.join(first, ["user_id", "product_id"]).select(
         "order_id",
@@ -99,38 +95,37 @@ def _aisle_id():
     return F.substring_index("p_brand", "#", -1).cast("int")
 
 
-def _department_id():
-    types = F.array(*[F.lit(t) for t in PART_TYPES])
+def _department_id(raw: DataFrame):
+    """Rank of a part's type among all types of the table, from 1; null for a null type.
+
+    The distinct types are one scalar subquery: partial aggregates meet in a sorted array.
+    """
+    types = raw.agg(F.array_sort(F.collect_set("p_type"))).scalar()
     return F.array_position(types, F.col("p_type")).cast("int")
 
 
 def warehouse_products(raw: DataFrame) -> DataFrame:
-    """Parts folded onto the catalogue: each product has the attributes of its lowest part key.
-
-    All parts are read; the lowest keys are at most ``CATALOG_SIZE`` rows, hence the broadcast.
-    """
-    lead = raw.groupBy((F.col("p_partkey") % CATALOG_SIZE).alias("product_id")).agg(
-        F.min("p_partkey").alias("p_partkey")
-    )
-    return raw.join(F.broadcast(lead), "p_partkey").select(
-        "product_id",
+    """Every part as a product."""
+    return raw.select(
+        F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
         _aisle_id().alias("aisle_id"),
-        _department_id().alias("department_id"),
+        _department_id(raw).alias("department_id"),
     )
 
 
 def warehouse_aisles(raw: DataFrame) -> DataFrame:
-    """Brands as aisles, one of them without a usable name."""
+    """Brands as aisles, one row per number, one of them without a usable name."""
     named = F.when(_aisle_id() == NAMELESS_BRAND, NAMELESS_AISLE).otherwise(F.lower("p_brand"))
-    return raw.select(_aisle_id().alias("aisle_id"), named.alias("aisle")).distinct()
+    return raw.groupBy(_aisle_id().alias("aisle_id")).agg(F.min(named).alias("aisle"))
 
 
 def warehouse_departments(raw: DataFrame) -> DataFrame:
-    """Part types as departments."""
-    return raw.select(
-        _department_id().alias("department_id"), F.lower("p_type").alias("department")
-    ).distinct()
+    """Part types as departments, one row per type."""
+    types = raw.select("p_type").distinct()
+    return types.select(
+        _department_id(raw).alias("department_id"), F.lower("p_type").alias("department")
+    )
 
 
 def read_warehouse(spark: SparkSession, folder: str) -> Tables:

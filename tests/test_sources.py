@@ -69,14 +69,35 @@ def test_orders_of_a_dominant_customer_are_numbered_exactly(spark, monkeypatch):
         assert r.eval_set == (final if r.order_id in last else "prior")
 
 
-def test_lines_are_folded_and_marked_as_repeats(spark):
+def test_lines_are_merged_by_part_and_marked_as_repeats(spark):
     orders = spark.createDataFrame(
         [(1, 7, "prior", 1), (2, 7, "train", 2), (3, 8, "test", 1)],
         "order_id long, user_id long, eval_set string, order_number int",
     )
     raw = spark.createDataFrame(
-        [(1, 105, 2), (1, 5, 1), (1, 9, 1), (2, 205, 1), (2, 30, 1), (3, 5, 1)],
+        [(1, 105, 2), (1, 5, 1), (1, 5, 3), (1, 9, 1), (2, 105, 1), (2, 30, 1), (3, 5, 1)],
         "l_orderkey long, l_partkey long, l_linenumber int",
     )
     got = sorted(tuple(r) for r in warehouse.warehouse_lines(raw, orders).collect())
-    assert got == [(1, 5, 1, 0, "prior"), (1, 9, 2, 0, "prior"), (2, 5, 1, 1, "train"), (2, 30, 2, 0, "train")]
+    assert got == [
+        (1, 5, 1, 0, "prior"), (1, 9, 2, 0, "prior"), (1, 105, 3, 0, "prior"),
+        (2, 30, 1, 0, "train"), (2, 105, 2, 1, "train"),
+    ]
+
+
+def test_any_type_or_brand_is_one_row_of_its_dimension(spark):
+    raw = spark.createDataFrame(
+        [(1, "a", "Brand#11", "RARE"), (105, "b", "Other#11", "ODD"), (205, "c", "Brand#12", None),
+         (3, "d", "Brand#7", "RARE")],
+        "p_partkey long, p_name string, p_brand string, p_type string",
+    )
+    products = warehouse.warehouse_products(raw)
+    assert sorted(tuple(r) for r in products.collect()) == [
+        (1, "a", 11, 2), (3, "d", 7, 2), (105, "b", 11, 1), (205, "c", 12, None),
+    ]
+    aisles, departments = warehouse.warehouse_aisles(raw), warehouse.warehouse_departments(raw)
+    assert sorted(tuple(r) for r in aisles.collect()) == [
+        (7, " Missing "), (11, "brand#11"), (12, "brand#12"),
+    ]
+    joined = products.join(aisles, "aisle_id", "left").join(departments, "department_id", "left")
+    assert joined.count() == 4
