@@ -25,8 +25,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 from .shared import documents
 
 MARK = "\u2581"
-# Distinct words, and pairs of pieces, that a task remembers.
+# Distinct words, and pairs of pieces, in each of the two generations that a task remembers.
 REMEMBERED = 150_000
+# Marks in the table of prefixes: no prefix of a piece, a piece not yet looked at, no standing piece.
+ABSENT, UNSEEN, PASSING = object(), object(), object()
 _loaded: dict[str, Codec] = {}
 
 
@@ -53,7 +55,6 @@ class Codec:
                 self.ids[piece] = i
                 self.scores[piece] = model.get_score(i)
                 self.bytes_of.append(piece.replace(MARK, " ").encode())
-        self.longest = max(map(len, self.ids))
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece reaches over the start of a word")
         whole = "".join({c for p in self.ids for c in p} & {"\n", "\t"})
@@ -62,8 +63,12 @@ class Codec:
         self.word = re.compile(f"{MARK}*[^{MARK}{parts}]+|{MARK}+|{parts}+" if parts else
                                f"{MARK}*[^{MARK}]+|{MARK}+")
         self.words: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.whole: dict[str, bool] = {}
+        self.old_pairs: dict[tuple[str, str], bool] = {}
+        # Prefixes of pieces: score of a piece that merging its characters gives back, or a mark.
+        self.prefixes = {p[:n]: PASSING for p in self.ids for n in range(1, len(p))}
+        self.prefixes.update(dict.fromkeys(self.ids, UNSEEN))
 
     def merged(self, text: str) -> list[str]:
         """Pieces of a short text by merging: highest score first, then leftmost."""
@@ -80,23 +85,27 @@ class Codec:
     def follows(self, last: str, piece: str) -> bool:
         """Whether merging the joined text of two pieces gives the two back."""
         key = last, piece
-        known = self.pairs.get(key)
+        known = self.old_pairs.get(key)
         if known is None:
-            if len(self.pairs) > REMEMBERED:
-                self.pairs.clear()
-            known = self.pairs[key] = self.merged(last + piece) == [last, piece]
+            known = self.merged(last + piece) == [last, piece]
+        if len(self.pairs) > REMEMBERED:
+            self.pairs, self.old_pairs = {}, self.pairs
+        self.pairs[key] = known
         return known
 
-    def stands(self, piece: str) -> bool:
-        known = self.whole.get(piece)
-        if known is None:
-            known = self.whole[piece] = self.merged(piece) == [piece]
-        return known
+    def standing(self, piece: str) -> object:
+        """Score of a piece that merging its characters gives back, else ``PASSING``."""
+        whole = self.merged(piece) == [piece]
+        score = self.prefixes[piece] = self.scores[piece] if whole else PASSING
+        return score
 
     def learn(self, words: list[str]) -> None:
         """Segment sorted distinct words; the forward table is reused along shared prefixes."""
+        prefixes = self.prefixes
         last: list[str] = [""]
         total: list[float] = [0.0]
+        # Starts from which a prefix of a piece reaches the end of the word so far.
+        open_at: list[list[int]] = [[]]
         before = ""
         for word in words:
             shared = 0
@@ -104,23 +113,34 @@ class Codec:
                 if a != b:
                     break
                 shared += 1
-            del last[shared + 1 :], total[shared + 1 :]
+            del last[shared + 1 :], total[shared + 1 :], open_at[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                best = None
-                for start in range(max(0, end - self.longest), end):
+                best, best_score = "", None
+                still: list[int] = []
+                for start in (*open_at[-1], end - 1):
                     piece = word[start:end]
-                    if piece not in self.scores:
+                    score = prefixes.get(piece, ABSENT)
+                    if score is not ABSENT:
+                        still.append(start)
+                        if score is UNSEEN:
+                            score = self.standing(piece)
+                    if score is ABSENT or score is PASSING:
+                        # A single character always stands, as bytes where it is no piece.
                         if start < end - 1:
                             continue
-                    elif not self.stands(piece):
-                        continue
-                    if start and not self.follows(last[start], piece):
-                        continue
-                    score = total[start] + self.scores.get(piece, 0.0)
-                    if best is None or score > best[0]:
-                        best = score, piece
-                total.append(best[0])
-                last.append(best[1])
+                        score = 0.0
+                    if start:
+                        known = self.pairs.get((last[start], piece))
+                        if known is None:
+                            known = self.follows(last[start], piece)
+                        if not known:
+                            continue
+                    score += total[start]
+                    if best_score is None or score > best_score:
+                        best, best_score = piece, score
+                total.append(best_score)
+                last.append(best)
+                open_at.append(still)
             found: list[int] = []
             end = len(word)
             while end:
@@ -140,10 +160,12 @@ class Codec:
             self.word.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts
         ]
         if len(self.words) > REMEMBERED:
-            self.words.clear()
-        new = {w for c in cut for w in c if w not in self.words}
-        self.learn(sorted(new))
-        words = self.words
+            # What the next texts use again moves over from the old generation.
+            self.words, self.old_words = {}, self.words
+        words, old = self.words, self.old_words
+        missing = {w for c in cut for w in c if w not in words}
+        words.update((w, old[w]) for w in missing if w in old)
+        self.learn(sorted(w for w in missing if w not in old))
         return [b"".join([words[w] for w in c]) for c in cut]
 
     def decode(self, ids: list[int]) -> str:
