@@ -139,14 +139,16 @@ def user_segments(
         model = kmeans_fits(vectors, [k], seed, restarts)[k]
     finally:
         vectors.unpersist()
-    axis = SEGMENT_FEATURES.index("u_hist_orders")
-    centres = model.clusterCenters()
-    rank = {c: i for i, c in enumerate(sorted(range(len(centres)), key=lambda c: centres[c][axis]))}
-    renumber = F.create_map(*[F.lit(x) for pair in rank.items() for x in pair])
-    found = model.transform(vectors).select(
-        "user_id", F.element_at(renumber, F.col("prediction")).alias("segment")
+    found = features.join(model.transform(vectors).select("user_id", "prediction"), "user_id")
+    # One row per segment comes back to the driver.
+    activity = found.groupBy("prediction").agg(F.avg("u_hist_orders").alias("orders")).collect()
+    order = sorted(activity, key=lambda r: (r["orders"] or 0.0, r["prediction"]))
+    renumber = F.create_map(
+        *[F.lit(x) for i, r in enumerate(order) for x in (r["prediction"], i)]
+    )
+    return found.withColumn("segment", F.element_at(renumber, F.col("prediction"))).drop(
+        "prediction"
     )
-    return features.join(found, "user_id")
 
 
 def segment_profile(segmented: DataFrame) -> DataFrame:

@@ -46,7 +46,9 @@ def predict_next_orders(
     counts = pairs.withColumnRenamed("lines", "up_buy_cnt")
     factors = None
     if with_affinity:
-        factors = stage.table("affinity", lambda: affinity.affinity_features(counts))
+        factors = stage.table(
+            "affinity", lambda: affinity.affinity_features(counts, reindex=True)
+        )
     candidates = stage.table(
         "full_candidates", lambda: features.candidate_table(tables, factors, pairs=pairs)
     )

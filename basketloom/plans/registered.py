@@ -83,7 +83,7 @@ def candidates(s: WarehouseStage) -> DataFrame:
 
 def affinities(s: WarehouseStage) -> DataFrame:
     pairs = pair_totals(s).withColumnRenamed("lines", "up_buy_cnt")
-    return s.table("affinity", lambda: affinity.affinity_features(pairs))
+    return s.table("affinity", lambda: affinity.affinity_features(pairs, reindex=True))
 
 
 def full_candidates(s: WarehouseStage) -> DataFrame:
