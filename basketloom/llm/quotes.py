@@ -131,24 +131,28 @@ def link_quotes(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _threads(replies: DataFrame) -> DataFrame:
-    """Root and depth of every reply, by pointers that double their reach each round."""
-    state = written(
+    """Root and depth of every reply, by pointers that double their reach each round.
+
+    A pointer that meets no further reply has found its root: later rounds read its row, but move
+    only the rows that are still on their way.
+    """
+    moving = written(
         replies.select(
             "conv_id", "turn", "parent_turn", F.col("parent_turn").alias("root_turn"),
             F.lit(1).alias("depth"),
         ),
         "threads",
     )
+    settled = moving.limit(0)
     while True:
-        step = state.select(
+        step = settled.unionByName(moving).select(
             "conv_id",
             F.col("turn").alias("root_turn"),
             F.col("root_turn").alias("next_root"),
             F.col("depth").alias("more"),
         )
-        moved = state.join(step, ["conv_id", "root_turn"], "left")
-        state = written(
-            moved.select(
+        moved = written(
+            moving.join(step, ["conv_id", "root_turn"], "left").select(
                 "conv_id",
                 "turn",
                 "parent_turn",
@@ -158,10 +162,10 @@ def _threads(replies: DataFrame) -> DataFrame:
             ),
             "threads",
         )
-        went = state.where("went").limit(1).count()
-        state = state.drop("went")
-        if not went:
-            return state
+        settled = settled.unionByName(moved.where("not went").drop("went"))
+        moving = moved.where("went").drop("went")
+        if moving.isEmpty():
+            return settled
 
 
 def quoting_archive(conversations: DataFrame) -> DataFrame:
