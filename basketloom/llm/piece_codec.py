@@ -27,8 +27,8 @@ from .shared import documents
 MARK = "\u2581"
 # Distinct words, and pairs of pieces, in each of the two generations that a task remembers.
 REMEMBERED = 150_000
-# Marks in the table of prefixes: no prefix of a piece, a piece not yet looked at, no standing piece.
-ABSENT, UNSEEN, PASSING = object(), object(), object()
+# Marks in the table of prefixes: a piece not yet looked at, no standing piece.
+UNSEEN, PASSING = object(), object()
 _loaded: dict[str, Codec] = {}
 
 
@@ -100,8 +100,12 @@ class Codec:
         return score
 
     def learn(self, words: list[str]) -> None:
-        """Segment sorted distinct words; the forward table is reused along shared prefixes."""
-        prefixes = self.prefixes
+        """Segment sorted distinct words; the forward table is reused along shared prefixes.
+
+        A prefix has one last piece that fits: once it is found, shorter ones are not tried, and
+        where no longer piece fits it is the last character.
+        """
+        known_prefix, known_pair = self.prefixes.get, self.pairs.get
         last: list[str] = [""]
         total: list[float] = [0.0]
         # Starts from which a prefix of a piece reaches the end of the word so far.
@@ -115,29 +119,34 @@ class Codec:
                 shared += 1
             del last[shared + 1 :], total[shared + 1 :], open_at[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                best, best_score = "", None
+                best, best_score = "", 0.0
                 still: list[int] = []
-                for start in (*open_at[-1], end - 1):
+                for start in open_at[-1]:
                     piece = word[start:end]
-                    score = prefixes.get(piece, ABSENT)
-                    if score is not ABSENT:
-                        still.append(start)
-                        if score is UNSEEN:
-                            score = self.standing(piece)
-                    if score is ABSENT or score is PASSING:
-                        # A single character always stands, as bytes where it is no piece.
-                        if start < end - 1:
+                    score = known_prefix(piece)
+                    if score is None:
+                        continue
+                    still.append(start)
+                    if best or score is PASSING:
+                        continue
+                    if score is UNSEEN:
+                        score = self.standing(piece)
+                        if score is PASSING:
                             continue
-                        score = 0.0
                     if start:
-                        known = self.pairs.get((last[start], piece))
-                        if known is None:
-                            known = self.follows(last[start], piece)
-                        if not known:
+                        fits = known_pair((last[start], piece))
+                        if fits is None:
+                            fits = self.follows(last[start], piece)
+                            known_pair = self.pairs.get
+                        if not fits:
                             continue
-                    score += total[start]
-                    if best_score is None or score > best_score:
-                        best, best_score = piece, score
+                    best, best_score = piece, total[start] + score
+                single = word[end - 1]
+                if known_prefix(single) is not None:
+                    still.append(end - 1)
+                if not best:
+                    # A character always stands, as bytes where it is no piece.
+                    best, best_score = single, total[end - 1] + self.scores.get(single, 0.0)
                 total.append(best_score)
                 last.append(best)
                 open_at.append(still)
