@@ -13,6 +13,7 @@ Checkpoints hold the states in mid-block: decoding may start at any of them.
 from __future__ import annotations
 
 import os
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -152,7 +153,10 @@ def _tokenizer(path: str) -> tuple:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = Tokenizer.from_file(path), [{}, {}]
+        tokenizer = Tokenizer.from_file(path)
+        upper, lower = string.ascii_uppercase, string.ascii_lowercase
+        folds = all(tokenizer.encode(a).ids == tokenizer.encode(b).ids for a, b in zip(upper, lower))
+        _tokenizers[path] = tokenizer, [{}, {}], folds
     return _tokenizers[path]
 
 
@@ -160,15 +164,19 @@ def ids_of(texts: list[str | None], path: str, end: int) -> list[np.ndarray]:
     """Ids of every text and the end id.
 
     This tokenizer drops white space and never joins what it parts, so a text's ids are those of its
-    parts, and every distinct part is encoded once.
+    parts, and every distinct part is encoded once. Where it ignores the case of A-Z, parts that
+    differ in it are one; combining marks, which may compose with one case only, forbid that.
     """
-    tokenizer, generations = _tokenizer(path)
+    tokenizer, generations, folds = _tokenizer(path)
     if len(generations[0]) > REMEMBERED:
         # What the next texts use again moves over from the old generation, the rest goes with it.
         generations[:] = {}, generations[0]
     known, old = generations
     # Bytes part at ASCII white space alone, all of which the tokenizer drops.
-    split = [(t or "").encode().split() for t in texts]
+    bodies = [(t or "").encode() for t in texts]
+    split = [
+        (b.lower() if folds and b"\xcc" not in b and b"\xcd" not in b else b).split() for b in bodies
+    ]
     missing = {w for s in split for w in s if w not in known}
     known.update((w, old[w]) for w in missing if w in old)
     new = [w for w in missing if w not in known]
