@@ -10,20 +10,69 @@ from ..operators import affinity, evaluation, features, models
 from ..operators.cleaning import union_all
 from ..schemas import Tables
 from ..sources import Stage
+from ..sources.staging import fingerprint
 
 # The models fitted by default; the third boosted preset is optional.
 DEFAULT_MODELS = ("logistic", "boosted_a", "boosted_b", "perceptron")
 
 
-def fit_and_score(
-    name: str, train: DataFrame, held_out: DataFrame, rounds: int | None = None
+def staged_pairs(tables: Tables, stage: Stage) -> DataFrame:
+    """Totals per (user, product), written once."""
+    return stage.table(
+        f"pair_totals-{fingerprint(tables)}",
+        lambda: features.pair_totals(features.prior_details(tables)),
+    )
+
+
+def staged_affinity(tables: Tables, stage: Stage) -> DataFrame:
+    """Affinity features of every pair, written once."""
+    counts = staged_pairs(tables, stage).withColumnRenamed("lines", "up_buy_cnt")
+    return stage.table(
+        f"affinity-{fingerprint(tables)}",
+        lambda: affinity.affinity_features(counts, reindex=True),
+    )
+
+
+def staged_candidates(tables: Tables, stage: Stage, with_affinity: bool = True) -> DataFrame:
+    """The candidate table, with or without the affinity features, written once."""
+
+    def build() -> DataFrame:
+        factors = staged_affinity(tables, stage) if with_affinity else None
+        return features.candidate_table(tables, factors, pairs=staged_pairs(tables, stage))
+
+    kind = "full_candidates" if with_affinity else "candidates"
+    return stage.table(f"{kind}-{fingerprint(tables)}", build)
+
+
+def fitted_trees(
+    tables: Tables, stage: Stage, name: str, rounds: int | None = None, with_affinity: bool = True
+) -> models.FittedTrees:
+    """A boosted model of the candidates, fitted once."""
+
+    def fit() -> models.FittedTrees:
+        parts = features.split_by_user(staged_candidates(tables, stage, with_affinity))
+        inputs = features.FEATURES if with_affinity else features.TABLE_FEATURES
+        return models.fit_trees(*parts, models.PRESETS[name], inputs, rounds=rounds)
+
+    return stage.once(f"{name}-{rounds}-{with_affinity}-{fingerprint(tables)}", fit)
+
+
+def staged_scores(
+    tables: Tables, stage: Stage, name: str, rounds: int | None = None, with_affinity: bool = True
 ) -> DataFrame:
-    """Scores of one named model: (model, user_id, product_id, label, prob)."""
-    if name == "logistic":
-        return models.logistic_scores(train, held_out)
-    if name == "perceptron":
-        return models.perceptron_scores(train, held_out)
-    return models.fit_trees(train, held_out, models.PRESETS[name], rounds=rounds).scores(name)
+    """Scores of one named model, (model, user_id, product_id, label, prob), written once."""
+
+    def build() -> DataFrame:
+        if name in models.PRESETS:
+            return fitted_trees(tables, stage, name, rounds, with_affinity).scores(name)
+        parts = features.split_by_user(staged_candidates(tables, stage, with_affinity))
+        inputs = features.FEATURES if with_affinity else features.TABLE_FEATURES
+        if name == "logistic":
+            return models.logistic_scores(*parts, inputs)
+        return models.perceptron_scores(*parts, inputs)
+
+    own = rounds if name in models.PRESETS else None
+    return stage.table(f"scores_{name}-{own}-{with_affinity}-{fingerprint(tables)}", build)
 
 
 def predict_next_orders(
@@ -40,24 +89,10 @@ def predict_next_orders(
     The pair totals, the candidates and the scores are written to the stage once: each is read by
     several branches below. ``with_blend`` adds 0.2 logistic + 0.8 of the preferred boosted model.
     """
-    pairs = stage.table(
-        "pair_totals", lambda: features.pair_totals(features.prior_details(tables))
-    )
-    counts = pairs.withColumnRenamed("lines", "up_buy_cnt")
-    factors = None
-    if with_affinity:
-        factors = stage.table(
-            "affinity", lambda: affinity.affinity_features(counts, reindex=True)
-        )
-    candidates = stage.table(
-        "full_candidates", lambda: features.candidate_table(tables, factors, pairs=pairs)
-    )
-    train, held_out = features.split_by_user(candidates)
+    counts = staged_pairs(tables, stage).withColumnRenamed("lines", "up_buy_cnt")
+    candidates = staged_candidates(tables, stage, with_affinity)
     by_model = {
-        name: stage.table(
-            f"scores_{name}", lambda name=name: fit_and_score(name, train, held_out, rounds)
-        )
-        for name in names
+        name: staged_scores(tables, stage, name, rounds, with_affinity) for name in names
     }
     chosen = next((m for m in evaluation.MODEL_PREFERENCE if m in by_model), names[0])
     if with_blend:

@@ -8,15 +8,17 @@ from ..operators import cleaning, profiling
 from ..operators import purchases as buy
 from ..schemas import Tables
 from ..sources import Stage
+from ..sources.staging import fingerprint
 
 
 def profile_report(tables: Tables, stage: Stage) -> dict[str, DataFrame]:
     """Every profiling table by name. Purchases, history and target rows are staged once."""
+    own = fingerprint(tables)
     clean = cleaning.clean_metadata(tables)
-    purchases = stage.table("profile/purchases", lambda: buy.purchase_table(clean))
-    targets = stage.table("profile/targets", lambda: buy.target_orders(tables.orders, purchases))
-    history = stage.table("profile/history", lambda: buy.history_rows(purchases, targets))
-    target = stage.table("profile/target", lambda: buy.target_rows(purchases, targets))
+    purchases = stage.table(f"profile-{own}/purchases", lambda: buy.purchase_table(clean))
+    targets = stage.table(f"profile-{own}/targets", lambda: buy.target_orders(tables.orders, purchases))
+    history = stage.table(f"profile-{own}/history", lambda: buy.history_rows(purchases, targets))
+    target = stage.table(f"profile-{own}/target", lambda: buy.target_rows(purchases, targets))
     orders = cleaning.fill_nulls(tables.orders, {"days_since_prior_order": 0.0})
     counts, pairs = profiling.user_order_counts(orders), profiling.pair_counts(history)
     sizes, widths = profiling.basket_sizes(target), profiling.candidate_sizes(history)

@@ -13,7 +13,7 @@ from ..operators import purchases as buy
 from ..operators import segments as seg
 from ..sources import read_warehouse, stage_for
 from ..sources.staging import WarehouseStage
-from .next_order import predict_next_orders
+from . import next_order
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,7 +22,6 @@ RULE_THRESHOLDS = {"min_support": 0.01, "min_confidence": 0.10, "min_lift": 0.90
 THRESHOLDS = [0.05, 0.1, 0.2, 0.3, 0.5]
 SCORE_MODELS = ["frequency", "recency", "repeat"]
 SCORE_PREFERENCE = ["recency", "frequency"]
-TREE_ROUNDS = 10
 
 _QUERIES: dict[str, Query] = {}
 
@@ -71,28 +70,20 @@ def target(s: WarehouseStage) -> DataFrame:
 
 
 def pair_totals(s: WarehouseStage) -> DataFrame:
-    return s.table("pair_totals", lambda: features.pair_totals(features.prior_details(s.tables())))
+    return next_order.staged_pairs(s.tables(), s)
 
 
 def candidates(s: WarehouseStage) -> DataFrame:
-    def build() -> DataFrame:
-        return features.candidate_table(s.tables(), pairs=pair_totals(s))
-
-    return s.table("candidates", build)
+    return next_order.staged_candidates(s.tables(), s, with_affinity=False)
 
 
 def affinities(s: WarehouseStage) -> DataFrame:
-    pairs = pair_totals(s).withColumnRenamed("lines", "up_buy_cnt")
-    return s.table("affinity", lambda: affinity.affinity_features(pairs, reindex=True))
+    return next_order.staged_affinity(s.tables(), s)
 
 
 def full_candidates(s: WarehouseStage) -> DataFrame:
     """Candidates with the affinity features."""
-
-    def build() -> DataFrame:
-        return features.candidate_table(s.tables(), affinities(s), pairs=pair_totals(s))
-
-    return s.table("full_candidates", build)
+    return next_order.staged_candidates(s.tables(), s)
 
 
 def validation(s: WarehouseStage) -> DataFrame:
@@ -787,12 +778,12 @@ def blend_scores(s: WarehouseStage) -> DataFrame:
 # --- learning ----------------------------------------------------------------------------------
 
 
-def _parts(s: WarehouseStage) -> tuple[DataFrame, DataFrame]:
-    return features.split_by_user(full_candidates(s))
+def _trees(s: WarehouseStage, name: str) -> models.FittedTrees:
+    return next_order.fitted_trees(s.tables(), s, name)
 
 
-def _trees(s: WarehouseStage, name: str) -> models.FittedTrees:
-    return models.fit_trees(*_parts(s), models.PRESETS[name], rounds=TREE_ROUNDS)
+def _scores(s: WarehouseStage, name: str) -> DataFrame:
+    return next_order.staged_scores(s.tables(), s, name)
 
 
 @query
@@ -811,27 +802,27 @@ def als_affinity(s: WarehouseStage) -> DataFrame:
 
 @query
 def logreg_scores(s: WarehouseStage) -> DataFrame:
-    return models.logistic_scores(*_parts(s))
+    return _scores(s, "logistic")
 
 
 @query
 def gbt_scores_a(s: WarehouseStage) -> DataFrame:
-    return _trees(s, "boosted_a").scores("boosted_a")
+    return _scores(s, "boosted_a")
 
 
 @query
 def gbt_scores_b(s: WarehouseStage) -> DataFrame:
-    return _trees(s, "boosted_b").scores("boosted_b")
+    return _scores(s, "boosted_b")
 
 
 @query
 def gbt_scores_c(s: WarehouseStage) -> DataFrame:
-    return _trees(s, "boosted_c").scores("boosted_c")
+    return _scores(s, "boosted_c")
 
 
 @query
 def mlp_scores(s: WarehouseStage) -> DataFrame:
-    return models.perceptron_scores(*_parts(s))
+    return _scores(s, "perceptron")
 
 
 @query
@@ -844,8 +835,13 @@ def training_curve(s: WarehouseStage) -> DataFrame:
     return _trees(s, "boosted_a").training_curve()
 
 
+@query
+def training_curve_b(s: WarehouseStage) -> DataFrame:
+    return _trees(s, "boosted_b").training_curve()
+
+
 def _fitted(s: WarehouseStage) -> dict[str, DataFrame]:
-    return predict_next_orders(s.tables(), s, rounds=TREE_ROUNDS, with_blend=True)
+    return next_order.predict_next_orders(s.tables(), s, with_blend=True)
 
 
 @query

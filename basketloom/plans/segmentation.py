@@ -8,6 +8,7 @@ from ..operators import baskets, cleaning, segments
 from ..operators import purchases as buy
 from ..schemas import Tables
 from ..sources import Stage
+from ..sources.staging import fingerprint
 
 
 def segments_and_bundles(
@@ -20,18 +21,19 @@ def segments_and_bundles(
     min_lift: float = 1.30,
 ) -> dict[str, DataFrame]:
     """Segments from history; rules from all purchases, target orders included."""
+    own = fingerprint(tables)
     clean = cleaning.clean_metadata(tables)
-    purchases = stage.table("segments/purchases", lambda: buy.purchase_table(clean))
+    purchases = stage.table(f"segments-{own}/purchases", lambda: buy.purchase_table(clean))
     targets = buy.target_orders(tables.orders, purchases)
-    history = stage.table("segments/history", lambda: buy.history_rows(purchases, targets))
+    history = stage.table(f"segments-{own}/history", lambda: buy.history_rows(purchases, targets))
     features = stage.table(
-        "segments/features", lambda: segments.segment_features(history, tables.orders)
+        f"segments-{own}/features", lambda: segments.segment_features(history, tables.orders)
     )
     segmented = stage.table(
-        "segments/users", lambda: segments.user_segments(features, k, restarts=restarts)
+        f"segments-{own}/users-{k}-{restarts}", lambda: segments.user_segments(features, k, restarts=restarts)
     )
     weighted = stage.table(
-        "segments/baskets", lambda: baskets.weighted_baskets(baskets.baskets(purchases))
+        f"segments-{own}/baskets", lambda: baskets.weighted_baskets(baskets.baskets(purchases))
     )
     rules = baskets.filter_rules(
         baskets.association_rules(weighted), min_support, min_confidence, min_lift

@@ -24,11 +24,21 @@ class Stage:
         app = spark.sparkContext.applicationId
         self.root = f"{shared_dir(spark)}/{name}-{app}-{uuid.uuid4().hex[:8]}"
         self._frames: dict[str, DataFrame] = {}
+        self._kept: dict[str, object] = {}
+
+    def once(self, name: str, build: Callable[[], object]) -> object:
+        """What ``build`` returned the first time under ``name``: a fitted model, for one."""
+        if name not in self._kept:
+            self._kept[name] = build()
+        return self._kept[name]
 
     def table(
         self, name: str, build: Callable[[], DataFrame], partition_by: Sequence[str] = ()
     ) -> DataFrame:
-        """The table called ``name``, built and written on first use."""
+        """The table called ``name``, built and written on first use.
+
+        What the table is made from belongs in its name; see ``fingerprint``.
+        """
         if name not in self._frames:
             path = f"{self.root}/{name}"
             built = build()
@@ -38,6 +48,11 @@ class Stage:
         return self._frames[name]
 
 
+def fingerprint(tables: Tables) -> str:
+    """Tells inputs apart in the names of staged tables: equal plans over equal folders are equal."""
+    return "-".join(f"{df.semanticHash() & 0xFFFFFFFF:08x}" for _, df in tables.items())
+
+
 class WarehouseStage(Stage):
     """Input tables derived from a warehouse folder, staged one by one as queries need them."""
 

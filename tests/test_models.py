@@ -67,18 +67,30 @@ def test_boosted_trees_importance_and_curve(planted):
     assert [r.iteration for r in curve] == list(range(6)) and sum(r.is_best for r in curve) == 1
     losses = [r.train_logloss for r in curve]
     assert losses == sorted(losses, reverse=True)
-    # After the last round the curve describes the model itself.
-    final = {(r.user_id, r.product_id): r.prob for r in scores.collect()}
-    assert curve[-1].validation_auc == pytest.approx(area(scores))
-    staged = fitted.staged_scores(fitted.validation).where("iteration = 5").collect()
-    assert sorted(r.prob for r in staged) == pytest.approx(sorted(final.values()))
+    # The best round of the curve is the model that scores.
+    best = next(r for r in curve if r.is_best)
+    assert best.validation_logloss == min(r.validation_logloss for r in curve)
+    assert best.iteration + 1 == fitted.model.getNumTrees
+    assert best.validation_auc == pytest.approx(area(scores))
+    weights = fitted.validation.select("user_id", "product_id", "weight")
+    rows = scores.join(weights, ["user_id", "product_id"]).collect()
+    loss = sum(-r.weight * math.log(r.prob if r.label else 1 - r.prob) for r in rows)
+    assert best.validation_logloss == pytest.approx(loss / sum(r.weight for r in rows))
 
 
-def test_early_stop_uses_the_held_out_part(planted):
+def test_best_round_has_patience():
+    assert models.best_round([3.0, 2.0, 2.5, 2.4, 1.0], 2) == (1, True)
+    assert models.best_round([3.0, 2.0, 2.5, 1.0, 1.0], 3) == (3, False)
+    assert models.best_round([math.nan] * 3, 1) == (2, False)
+
+
+def test_later_worse_rounds_are_not_used(planted):
+    train, held = planted
+    wrong = held.withColumn("label", 1 - F.col("label"))
     fitted = models.fit_trees(
-        *planted, models.BOOSTED_A, features=PLANTED, categorical=[], rounds=8, stop_early=True
+        train, wrong, models.BoostedTrees(rounds=200, patience=3), PLANTED, categorical=[]
     )
-    assert 1 <= fitted.model.getNumTrees <= 8
+    assert fitted.model.getNumTrees == 1 and len(fitted.validation_losses) == 4
 
 
 def test_categorical_ids_unseen_in_training_are_kept(planted):

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import pytest
 
 from basketloom.plans.profile_report import profile_report
 from basketloom.plans.segmentation import segments_and_bundles
 from basketloom.sources import Stage
+from basketloom.sources.staging import fingerprint
 
 
 def test_profile_report(tables, spark):
@@ -65,3 +68,9 @@ def test_next_order_path(spark, blend):
     assert all(0 <= r.auc <= 1 and r.ece >= 0 and r.log_loss > 0 for r in metrics.values())
     methods = [r.method for r in got["summary"].collect()]
     assert sorted(methods) == ["baseline top-11", "blend top-11", "boosted_c top-11", "logistic top-11"]
+
+
+def test_fingerprint_tells_tables_apart(tables):
+    fewer = replace(tables, orders=tables.orders.where("user_id < 3"))
+    assert fingerprint(tables) == fingerprint(replace(tables))
+    assert fingerprint(tables) != fingerprint(fewer)
