@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import (
     decontamination,
+    divergence,
     language_id,
     merkle,
     ngram_jaccard,
@@ -26,6 +27,7 @@ MODULES = [
     ngram_jaccard,
     substring_dedup,
     suffix_tree_lm,
+    divergence,
 ]
 
 
