@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from . import (
+    collocations,
     decontamination,
     divergence,
     language_id,
     merkle,
+    minhash,
     ngram_jaccard,
     piece_codec,
     quotes,
@@ -28,6 +30,8 @@ MODULES = [
     substring_dedup,
     suffix_tree_lm,
     divergence,
+    collocations,
+    minhash,
 ]
 
 
