@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Right-closed upper edges and labels of the recency bins.
-RECENCY_EDGES = [0.5, 1.5, 2.5, 3.5, 4.5, 5.5, 10.5, 20.5, 1e9]
+# Edges of the right-closed recency bins, and the bins' labels.
+RECENCY_EDGES = [-0.5, 0.5, 1.5, 2.5, 3.5, 4.5, 5.5, 10.5, 20.5, 1e9]
 RECENCY_LABELS = ["0", "1", "2", "3", "4", "5", "6-10", "11-20", ">20"]
-RECENCY_FLOOR = -0.5
 
 
 def is_literal_missing(text: Column) -> Column:
@@ -38,8 +37,8 @@ def clip_low(value: Column, floor: float = 0.0) -> Column:
 
 def recency_bin(orders_since: Column) -> Column:
     """Ordinal of the right-closed recency bin, null outside every bin."""
-    inside = F.when(orders_since <= RECENCY_FLOOR, F.lit(None).cast("int"))
-    for ordinal, edge in enumerate(RECENCY_EDGES):
+    inside = F.when(orders_since <= RECENCY_EDGES[0], F.lit(None).cast("int"))
+    for ordinal, edge in enumerate(RECENCY_EDGES[1:]):
         inside = inside.when(orders_since <= edge, F.lit(ordinal))
     return inside
 

@@ -6,8 +6,8 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import cosine, dot
-from ..session import ensure_checkpoints
+from ..functions import cosine, dot, norm
+from ..session import ensure_checkpoints, written_once
 from .running import dense_ids
 
 
@@ -69,9 +69,12 @@ def affinity_features(
 def score_affinity(
     pairs: DataFrame, model: ALSModel, user: str = "user_id", item: str = "product_id"
 ) -> DataFrame:
-    """Dot product and cosine of the factors of every given pair."""
-    users = model.userFactors.select(F.col("id").alias("_u"), F.col("features").alias("_uf"))
-    items = model.itemFactors.select(F.col("id").alias("_i"), F.col("features").alias("_if"))
+    """Dot product and cosine of the factors of every given pair.
+
+    Factors are written once: their sizes are then known, and decide how each side is joined.
+    """
+    users = written_once(model.userFactors, "user-factors").toDF("_u", "_uf")
+    items = written_once(model.itemFactors, "item-factors").toDF("_i", "_if")
     joined = (
         pairs.select("user_id", "product_id", F.col(user).cast("int").alias("_u"),
                      F.col(item).cast("int").alias("_i"))
@@ -85,3 +88,29 @@ def score_affinity(
         F.coalesce(dot(F.col("_uf"), F.col("_if")), zero).alias("als_dot"),
         F.coalesce(cosine(F.col("_uf"), F.col("_if")), zero).alias("als_cos"),
     )
+
+
+def similarity_to_groups(
+    vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", group: str = "label"
+) -> DataFrame:
+    """Norm of every vector, and its dot product and cosine with the mean vector of its group.
+
+    Means are taken by (group, place), so no task holds a group. Vectors without a group, or null
+    ones, are left out; vectors of a group are equally long.
+    """
+    places = vectors.select(group, F.posexplode(vector).alias("_place", "_x"))
+    means = (
+        places.groupBy(group, "_place")
+        .agg(F.avg(F.col("_x").cast("double")).alias("_x"))
+        .groupBy(group)
+        .agg(F.array_sort(F.collect_list(F.struct("_place", "_x"))).alias("_all"))
+        .select(group, F.transform("_all", lambda s: s["_x"]).alias("_mean"))
+    )
+    own = F.col(vector)
+    return vectors.where(own.isNotNull()).join(means, group).select(
+        key,
+        group,
+        norm(own).alias("norm"),
+        dot(own, F.col("_mean")).alias("dot"),
+        cosine(own, F.col("_mean")).alias("cosine"),
+    )

@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written_once
 from .cleaning import rows_of, union_all
 from .features import is_validation_user, train_orders
 from .quantiles import exact_quantiles
-from .running import running_totals, top_per_key, with_balanced_blocks, with_single_row
+from .running import running_totals, top_per_key, with_single_row
 
 # List length of the fair comparison, ranks of recall@K, calibration bins, and the
 # preference among models for diagnostics (best first).
@@ -36,31 +37,51 @@ def _metric_groups(scores: DataFrame) -> list[str]:
     return ["model"] if "model" in scores.columns else []
 
 
-def ranking_metrics(scores: DataFrame) -> DataFrame:
-    """ROC AUC (ties averaged) and average precision (step sum) of (label, prob) rows.
+def score_counts(scores: DataFrame) -> DataFrame:
+    """Positives, negatives and rows by distinct score, in blocks of neighbouring scores.
 
-    With a ``model`` column there is one row per model. Both metrics come from the same running
-    counts over distinct scores, which are built block by block and never in one partition.
+    Written once: scores are dealt by range, so blocks follow the data however many there are, and
+    the block of a row is a stored number.
     """
     by = _metric_groups(scores)
+    ranged = _by_score(scores, by).repartitionByRange(*by, "prob")
+    return written_once(
+        ranged.withColumn("_block", F.spark_partition_id().cast("long")), "score-counts"
+    )
+
+
+def _metrics_of(counts: DataFrame, metrics: Sequence[str]) -> DataFrame:
+    """Metrics that are sums over distinct scores, from one pass along falling scores."""
+    by = _metric_groups(counts)
     ranked = running_totals(
-        with_balanced_blocks(_by_score(scores, by), "prob", ["n", "pos", "neg"], by),
+        counts,
         keys=by,
-        block=F.col("_block"),
-        order=["prob"],
+        block=-F.col("_block"),
+        order=[F.desc("prob")],
         totals={"pos_upto": F.col("pos"), "neg_upto": F.col("neg"), "n_upto": F.col("n")},
     )
-    all_pos, all_neg = F.col("_total_pos").cast("double"), F.col("_total_neg").cast("double")
-    below = F.col("neg_upto") - F.col("neg")
-    won = F.sum(F.col("pos") * (below + F.col("neg") / 2.0))
-    hits_above = F.col("_total_pos") - F.col("pos_upto") + F.col("pos")
-    rows_above = F.col("_total_n") - F.col("n_upto") + F.col("n")
-    return ranked.groupBy(*by).agg(
-        F.try_divide(won, F.max(all_pos * all_neg)).alias("auc"),
-        F.try_divide(F.sum(F.col("pos") * (hits_above / rows_above)), F.max(all_pos)).alias(
-            "average_precision"
+    pos, neg, n = (F.sum(c).cast("double") for c in ("pos", "neg", "n"))
+    lost = F.sum(F.col("pos") * (F.col("neg_upto") - F.col("neg") / 2.0))
+    p = F.col("prob")
+    bounded = _bounded(p)
+    found = {
+        "auc": 1.0 - F.try_divide(lost, pos * neg),
+        "average_precision": F.try_divide(
+            F.sum(F.col("pos") * (F.col("pos_upto") / F.col("n_upto"))), pos
         ),
-    )
+        "log_loss": -F.sum(F.col("pos") * F.ln(bounded) + F.col("neg") * F.ln(1.0 - bounded)) / n,
+        "brier": F.sum(F.col("pos") * (1.0 - p) * (1.0 - p) + F.col("neg") * p * p) / n,
+    }
+    return ranked.groupBy(*by).agg(*[found[m].alias(m) for m in metrics])
+
+
+def ranking_metrics(scores: DataFrame) -> DataFrame:
+    """ROC AUC (ties averaged) and average precision (step sum) of (label, prob) rows.
+
+    With a ``model`` column there is one row per model. Both metrics come from the same running
+    counts over distinct scores, which are built block by block and never in one partition.
+    """
+    return _metrics_of(score_counts(scores), ["auc", "average_precision"])
 
 
 def auc(scores: DataFrame) -> DataFrame:
@@ -73,9 +94,13 @@ def average_precision(scores: DataFrame) -> DataFrame:
     return ranking_metrics(scores).drop("auc")
 
 
+def _bounded(p: Column, epsilon: float = 2.220446049250313e-16) -> Column:
+    return F.least(F.greatest(p, F.lit(epsilon)), F.lit(1.0 - epsilon))
+
+
 def log_loss(scores: DataFrame, epsilon: float = 2.220446049250313e-16) -> DataFrame:
     """Mean negative log likelihood, probabilities kept ``epsilon`` away from 0 and 1."""
-    p = F.least(F.greatest(F.col("prob").cast("double"), F.lit(epsilon)), F.lit(1.0 - epsilon))
+    p = _bounded(F.col("prob").cast("double"), epsilon)
     loss = -(F.col("label") * F.ln(p) + (1 - F.col("label")) * F.ln(1.0 - p))
     return scores.groupBy(*_metric_groups(scores)).agg(F.avg(loss).alias("log_loss"))
 
@@ -98,13 +123,21 @@ def calibration_error(scores: DataFrame, bins: int = CALIBRATION_BINS) -> DataFr
 
 
 def row_metrics(scores: DataFrame) -> DataFrame:
-    """AUC, log loss, average precision, Brier score and calibration error, per model."""
+    """AUC, average precision, log loss, Brier score and calibration error, per model.
+
+    All five come from one table of counts by score.
+    """
     if "model" not in scores.columns:
         scores = scores.withColumn("model", F.lit("model"))
-    joined = ranking_metrics(scores)
-    for other in (log_loss(scores), brier(scores), calibration_error(scores)):
-        joined = joined.join(other, "model")
-    return joined
+    counts = score_counts(scores)
+    place = F.least(F.floor(F.col("prob") * CALIBRATION_BINS), F.lit(CALIBRATION_BINS - 1))
+    binned = counts.groupBy("model", place.alias("bin")).agg(
+        F.sum("n").alias("n"),
+        F.abs(F.sum("pos") - F.sum(F.col("prob") * F.col("n"))).alias("off"),
+    )
+    ece = binned.groupBy("model").agg((F.sum("off") / F.sum("n")).alias("ece"))
+    metrics = ["auc", "average_precision", "log_loss", "brier"]
+    return _metrics_of(counts, metrics).join(ece, "model")
 
 
 # --- order level -------------------------------------------------------------------------------

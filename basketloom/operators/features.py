@@ -97,6 +97,12 @@ def product_features(pairs: DataFrame) -> DataFrame:
     )
 
 
+def product_table(pairs: DataFrame, products: DataFrame) -> DataFrame:
+    """Features and category ids of every product with prior lines."""
+    named = products.select("product_id", *CATEGORICAL_FEATURES)
+    return product_features(pairs).join(named, "product_id", "left")
+
+
 def pair_columns() -> list[Column]:
     """Per-pair features; ``pair_totals`` joined with ``user_features`` has all their inputs."""
     last_days = F.coalesce("last_cum_days", F.lit(0.0))
@@ -138,6 +144,7 @@ def candidate_table(
     affinity: DataFrame | None = None,
     labelled_users_only: bool = False,
     pairs: DataFrame | None = None,
+    products: DataFrame | None = None,
 ) -> DataFrame:
     """One row per (user, product) seen in prior lines: all features and the 0/1 label.
 
@@ -146,7 +153,9 @@ def candidate_table(
     two factor scores, which are 0.0 where it has no row or is not given.
 
     ``pairs`` may be a stored ``pair_totals``. It feeds three branches (the rows themselves, user
-    and product features), so storing it makes one pass over the lines out of three.
+    and product features), so storing it makes one pass over the lines out of three. ``products``
+    may be a stored ``product_table``: its size is then known, and where it is small the candidates
+    are not exchanged by product at all.
     """
     timeline = with_cumulative_days(tables.orders)
     if pairs is None:
@@ -160,11 +169,9 @@ def candidate_table(
         full = full.join(affinity, ["user_id", "product_id"], "left")
     else:
         full = full.withColumns({c: F.lit(0.0) for c in AFFINITY_FEATURES})
-    full = (
-        full.join(users, "user_id")
-        .join(product_features(pairs), "product_id", "left")
-        .join(tables.products.select("product_id", *CATEGORICAL_FEATURES), "product_id", "left")
-    )
+    if products is None:
+        products = product_table(pairs, tables.products)
+    full = full.join(users, "user_id").join(products, "product_id", "left")
     return full.select(
         "user_id",
         "product_id",

@@ -11,7 +11,14 @@ from ..functions import label_for_bin, recency_bin
 from ..functions.columns import RECENCY_LABELS
 from .cleaning import rows_of, union_all
 from .purchases import last_orders
-from .quantiles import exact_quantiles, histogram, quantiles_of_counts, tail_summary, value_counts
+from .quantiles import (
+    exact_quantiles,
+    histogram,
+    narrowed_quantiles,
+    quantiles_of_counts,
+    tail_summary,
+    value_counts,
+)
 from .running import top_overall
 
 # Thresholds of the coverage report, and the three quantiles of distribution plots.
@@ -118,21 +125,18 @@ def long_tail_summary(orders: DataFrame, history: DataFrame, target: DataFrame)
 
     First-order gaps count as 0 days, as everywhere in profiling.
     """
-    return tail_summary(
-        union_all(
-            [
-                _measure(user_order_counts(orders), "user_orders", "u_all_orders"),
-                _measure(basket_sizes(target), "target_basket_size", "basket_size"),
-                _measure(candidate_sizes(history), "history_products_per_user", "n_products"),
-                _measure(pair_counts(history), "pair_purchases", "up_buy_cnt"),
-                _measure(
-                    orders,
-                    "days_since_prior_order",
-                    F.coalesce("days_since_prior_order", F.lit(0.0)),
-                ),
-            ]
-        ),
-        sizes=True,
+    sizes = union_all(
+        [
+            _measure(user_order_counts(orders), "user_orders", "u_all_orders"),
+            _measure(basket_sizes(target), "target_basket_size", "basket_size"),
+            _measure(candidate_sizes(history), "history_products_per_user", "n_products"),
+            _measure(pair_counts(history), "pair_purchases", "up_buy_cnt"),
+        ]
+    )
+    gaps = F.coalesce("days_since_prior_order", F.lit(0.0))
+    # Gaps may be fractions of days: as many values as there are orders.
+    return tail_summary(sizes, sizes=True).unionByName(
+        tail_summary(_measure(orders, "days_since_prior_order", gaps))
     )
 
 
@@ -205,7 +209,7 @@ def busiest_hours(orders: DataFrame, n: int = 5) -> DataFrame:
 def gap_quantiles(orders: DataFrame) -> DataFrame:
     """Median, 90th and 99th percentile of gap days, first orders counting as 0."""
     filled = orders.na.fill({"days_since_prior_order": 0.0})
-    return plot_quantiles(filled, "days_since_prior_order", sizes=True)
+    return narrowed_quantiles(filled, "days_since_prior_order", PLOT_PROBS)
 
 
 def product_popularity(history: DataFrame) -> DataFrame:

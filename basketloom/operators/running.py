@@ -56,6 +56,28 @@ def running_totals(
     )
 
 
+def carried(
+    df: DataFrame, keys: Sequence[str], block: Column, order: str, out: str
+) -> DataFrame:
+    """Add ``out``: the ``order`` value of the row before, per key; null for a key's first row.
+
+    Blocks as in ``running_totals``. Inside a block it is the row before; the first row of a block
+    takes the last value of the nearest block before it that has any, so a key's windows only ever
+    see one row per block. ``order`` is one column without nulls and must not repeat inside a key.
+    """
+    blocked = df.withColumn("_block", block)
+    in_block = Window.partitionBy(*keys, "_block").orderBy(order)
+    across = Window.partitionBy(*keys).orderBy("_block")
+    last = blocked.groupBy(*keys, "_block").agg(F.max(order).alias("_last"))
+    before = last.select(*keys, "_block", F.lag("_last").over(across).alias("_carry")).where(
+        F.col("_carry").isNotNull()
+    )
+    inside = blocked.withColumn("_inside", F.lag(order).over(in_block))
+    return inside.join(before, [*keys, "_block"], "left").select(
+        *[F.col(c) for c in df.columns], F.coalesce("_inside", "_carry").alias(out)
+    )
+
+
 def with_balanced_blocks(
     counts: DataFrame, value: str, totals: Sequence[str], by: Sequence[str] = (), fan: int = 32
 ) -> DataFrame:

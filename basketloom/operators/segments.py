@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
 
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import finite_or_zero
+from .clusters import fit_clusters
 from .running import top_per_key
 
 # The segment features, and those taken as log(1 + x) before scaling.
@@ -94,35 +92,12 @@ def scaled_segment_features(features: DataFrame) -> DataFrame:
     return standardize(log_features(features), SEGMENT_FEATURES)
 
 
-def _vectors(scaled: DataFrame) -> DataFrame:
-    return VectorAssembler(inputCols=SEGMENT_FEATURES, outputCol="features").transform(scaled)
-
-
-def kmeans_fits(
-    vectors: DataFrame, ks: Sequence[int], seed: int, restarts: int, parallelism: int = 4
-) -> dict[int, KMeansModel]:
-    """For every k, the fit of least inertia among ``restarts`` seeds.
-
-    The fits are independent Spark jobs; ``parallelism`` of them are submitted at a time.
-    """
-    vectors.count()  # fill the cache once, before the fits share it
-    jobs = [(k, seed + i) for k in ks for i in range(restarts)]
-    with ThreadPool(min(parallelism, len(jobs))) as pool:
-        fits = pool.map(lambda job: (job[0], KMeans(k=job[0], seed=job[1]).fit(vectors)), jobs)
-    cost = {id(model): model.summary.trainingCost for _, model in fits}
-    return {k: min((m for j, m in fits if j == k), key=lambda m: cost[id(m)]) for k in ks}
-
-
 def elbow_table(
     scaled: DataFrame, ks: Sequence[int] = range(2, 10), seed: int = 42, restarts: int = 20
 ) -> DataFrame:
-    """Inertia per number of clusters. The vectors are cached once for all fits."""
-    vectors = _vectors(scaled).select("features").persist()
-    try:
-        fits = kmeans_fits(vectors, ks, seed, restarts)
-        rows = [(k, float(model.summary.trainingCost)) for k, model in fits.items()]
-    finally:
-        vectors.unpersist()
+    """Inertia per number of clusters; all fits share the scans of the rows."""
+    fits = fit_clusters(scaled, SEGMENT_FEATURES, ks, restarts, seed)
+    rows = [(k, fit.inertia) for k, fit in fits.items()]
     return scaled.sparkSession.createDataFrame(rows, "k int, inertia double")
 
 
@@ -134,12 +109,10 @@ def user_segments(
     Segments are renumbered by rising mean order count, so their ids do not depend on the order in
     which the centres were found.
     """
-    vectors = _vectors(scaled_segment_features(features)).select("user_id", "features").persist()
-    try:
-        model = kmeans_fits(vectors, [k], seed, restarts)[k]
-    finally:
-        vectors.unpersist()
-    found = features.join(model.transform(vectors).select("user_id", "prediction"), "user_id")
+    raw = [c for c in features.columns if c != "user_id"]
+    scaled = scaled_segment_features(features.withColumn("_raw", F.struct(*raw)))
+    fit = fit_clusters(scaled, SEGMENT_FEATURES, [k], restarts, seed)[k]
+    found = scaled.select("user_id", "_raw.*", fit.nearest(SEGMENT_FEATURES).alias("prediction"))
     # One row per segment comes back to the driver.
     activity = found.groupBy("prediction").agg(F.avg("u_hist_orders").alias("orders")).collect()
     order = sorted(activity, key=lambda r: (r["orders"] or 0.0, r["prediction"]))

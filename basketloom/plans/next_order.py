@@ -38,7 +38,12 @@ def staged_candidates(tables: Tables, stage: Stage, with_affinity: bool = True)
 
     def build() -> DataFrame:
         factors = staged_affinity(tables, stage) if with_affinity else None
-        return features.candidate_table(tables, factors, pairs=staged_pairs(tables, stage))
+        pairs = staged_pairs(tables, stage)
+        products = stage.table(
+            f"product_table-{fingerprint(tables)}",
+            lambda: features.product_table(pairs, tables.products),
+        )
+        return features.candidate_table(tables, factors, pairs=pairs, products=products)
 
     kind = "full_candidates" if with_affinity else "candidates"
     return stage.table(f"{kind}-{fingerprint(tables)}", build)

@@ -797,7 +797,13 @@ def scaled_features(s: WarehouseStage) -> DataFrame:
 
 @query
 def als_affinity(s: WarehouseStage) -> DataFrame:
-    return affinity.affinity_features(candidates(s))
+    return affinity.affinity_features(candidates(s), reindex=True)
+
+
+@query
+def vector_similarity(s: WarehouseStage) -> DataFrame:
+    vectors = s.spark.read.parquet(f"{s.folder}/embeddings.parquet")
+    return rounded(affinity.similarity_to_groups(vectors))
 
 
 @query

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the operators are written for. All can be changed on a live session.
 SQL_DEFAULTS = {
@@ -70,3 +71,23 @@ def ensure_checkpoints(spark: SparkSession) -> None:
     """Let iterative fits cut their lineage in the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage; nothing happens if it is gone."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.delete(target, True)
+
+
+def written_once(df: DataFrame, name: str, paths: list[str] | None = None) -> DataFrame:
+    """``df`` written to the shared folder and read back: its lineage ends here.
+
+    The folder is added to ``paths``, so that whoever is done with the table can remove it.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if paths is not None:
+        paths.append(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import Tables
-from ..session import shared_dir, use_sql_defaults
+from ..session import remove_path, shared_dir, use_sql_defaults
 from .warehouse import read_warehouse, warehouse_lines
 
 
@@ -26,6 +27,18 @@ class Stage:
         self._frames: dict[str, DataFrame] = {}
         self._kept: dict[str, object] = {}
 
+    def __enter__(self) -> Stage:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+    def close(self) -> None:
+        """Remove everything that was written; frames handed out cannot be read after that."""
+        self._frames.clear()
+        self._kept.clear()
+        remove_path(self.spark, self.root)
+
     def once(self, name: str, build: Callable[[], object]) -> object:
         """What ``build`` returned the first time under ``name``: a fitted model, for one."""
         if name not in self._kept:
@@ -106,13 +119,46 @@ class WarehouseStage(Stage):
         )
 
 
-_stages: dict[tuple[str, str], WarehouseStage] = {}
+# The files a warehouse stage is derived from.
+INPUTS = ("orders", "lineitem", "part")
+
+
+def manifest(spark: SparkSession, folder: str, names: Sequence[str] = INPUTS) -> str:
+    """A digest of path, size and time of every input file: another one when a file changes.
+
+    Files are listed by the storage system that holds them; contents are not read.
+    """
+    found = []
+    for name in names:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.parquet")
+        listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+        while listed.hasNext():
+            file = listed.next()
+            found.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    return hashlib.sha256(repr(sorted(found)).encode()).hexdigest()
+
+
+_stages: dict[tuple[str, str], tuple[str, WarehouseStage]] = {}
 
 
 def stage_for(spark: SparkSession, folder: str) -> WarehouseStage:
-    """The stage of this application for ``folder``; one per (application, folder)."""
+    """The stage of this application for the files now in ``folder``.
+
+    When a file has changed, a new stage takes the place of the old one, whose tables are removed.
+    """
     key = (spark.sparkContext.applicationId, folder)
-    if key not in _stages:
+    now = manifest(spark, folder)
+    made, stage = _stages.get(key, ("", None))
+    if made != now:
+        if stage is not None:
+            stage.close()
         use_sql_defaults(spark)
-        _stages[key] = WarehouseStage(spark, folder)
-    return _stages[key]
+        stage = WarehouseStage(spark, folder)
+        _stages[key] = now, stage
+    return stage
+
+
+def close_stages(spark: SparkSession) -> None:
+    """Remove the tables of all stages of this application."""
+    for key in [k for k in _stages if k[0] == spark.sparkContext.applicationId]:
+        _stages.pop(key)[1].close()

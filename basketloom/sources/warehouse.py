@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.running import carried, running_totals
 from ..schemas import Tables
 
 # Fixed values of the derivation.
 NAMELESS_BRAND = 7
 NAMELESS_AISLE = " Missing "
 KEYS_PER_BLOCK = 1 << 20
+DAYS_PER_BLOCK = 64
 
 
 def warehouse_orders(raw: DataFrame) -> DataFrame:
@@ -18,7 +20,9 @@ def warehouse_orders(raw: DataFrame) -> DataFrame:
 
     Orders are grouped by (customer, day, key range). A group holds at most ``KEYS_PER_BLOCK``
     orders because keys are unique, so numbering stays spread out even for a customer that owns a
-    third of all orders; per-customer windows only ever see one row per group.
+    third of all orders. Groups are added up by day, and days run in blocks of ``DAYS_PER_BLOCK``:
+    counts and the last day are carried from block to block, so a window on a customer alone sees
+    one row for a block of days.
     """
     orders = raw.select(
         F.col("o_orderkey").alias("order_id"),
@@ -27,16 +31,30 @@ def warehouse_orders(raw: DataFrame) -> DataFrame:
         F.floor(F.col("o_orderkey") / KEYS_PER_BLOCK).alias("key_range"),
     )
     group = ["user_id", "day", "key_range"]
-    groups = orders.groupBy(*group).agg(F.count(F.lit(1)).alias("group_size"))
-    user = Window.partitionBy("user_id")
-    along = user.orderBy("day", "key_range")
-    groups = groups.select(
-        *group,
-        F.coalesce(
-            F.sum("group_size").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("before"),
-        F.sum("group_size").over(user).alias("user_orders"),
-        F.lag("day").over(along).alias("previous_day"),
+    sizes = orders.groupBy(*group).agg(F.count(F.lit(1)).alias("group_size"))
+    days = sizes.groupBy("user_id", "day").agg(F.sum("group_size").alias("day_size"))
+    block = F.floor(F.unix_date("day") / DAYS_PER_BLOCK)
+    numbered_days = running_totals(
+        carried(days, ["user_id"], block, "day", "previous_day"),
+        keys=["user_id"],
+        block=block,
+        order=["day"],
+        totals={"days_before": F.col("day_size")},
+        inclusive=False,
+    )
+    users = days.groupBy("user_id").agg(F.sum("day_size").alias("user_orders"))
+    in_day = Window.partitionBy("user_id", "day").orderBy("key_range")
+    earlier = F.sum("group_size").over(in_day.rowsBetween(Window.unboundedPreceding, -1))
+    groups = (
+        sizes.select(*group, F.coalesce(earlier, F.lit(0)).alias("earlier"))
+        .join(numbered_days.drop("day_size"), ["user_id", "day"])
+        .join(users, "user_id")
+        .select(
+            *group,
+            (F.col("days_before") + F.col("earlier")).alias("before"),
+            "user_orders",
+            F.when(F.col("earlier") > 0, F.col("day")).otherwise(F.col("previous_day")).alias("previous_day"),
+        )
     )
     in_group = F.row_number().over(Window.partitionBy(*group).orderBy("order_id"))
     numbered = (

@@ -48,7 +48,8 @@ def test_class_weights(spark):
 
 @pytest.mark.parametrize("fit", [models.logistic_scores, models.perceptron_scores])
 def test_classifiers_find_the_planted_feature(planted, fit):
-    more = {"hidden": (8, 4), "iterations": 60} if fit is models.perceptron_scores else {}
+    small = models.Network(hidden=(8, 4), epochs=60, batch_rows=64, step=0.01)
+    more = {"preset": small} if fit is models.perceptron_scores else {}
     scores = fit(*planted, features=PLANTED, **more)
     got = scores.collect()
     assert len(got) == 160 and all(0.0 <= r.prob <= 1.0 for r in got)
@@ -69,28 +70,24 @@ def test_boosted_trees_importance_and_curve(planted):
     assert losses == sorted(losses, reverse=True)
     # The best round of the curve is the model that scores.
     best = next(r for r in curve if r.is_best)
-    assert best.validation_logloss == min(r.validation_logloss for r in curve)
-    assert best.iteration + 1 == fitted.model.getNumTrees
+    assert best.validation_auc == max(r.validation_auc for r in curve)
+    assert best.iteration + 1 == len(fitted.ensemble.trees)
     assert best.validation_auc == pytest.approx(area(scores))
-    weights = fitted.validation.select("user_id", "product_id", "weight")
-    rows = scores.join(weights, ["user_id", "product_id"]).collect()
+    weighted = models.positive_weights(planted[1], rate_from=planted[0])
+    rows = scores.join(weighted.select("user_id", "product_id", "weight"), ["user_id", "product_id"])
+    rows = rows.collect()
     loss = sum(-r.weight * math.log(r.prob if r.label else 1 - r.prob) for r in rows)
     assert best.validation_logloss == pytest.approx(loss / sum(r.weight for r in rows))
 
 
-def test_best_round_has_patience():
-    assert models.best_round([3.0, 2.0, 2.5, 2.4, 1.0], 2) == (1, True)
-    assert models.best_round([3.0, 2.0, 2.5, 1.0, 1.0], 3) == (3, False)
-    assert models.best_round([math.nan] * 3, 1) == (2, False)
-
-
 def test_later_worse_rounds_are_not_used(planted):
     train, held = planted
     wrong = held.withColumn("label", 1 - F.col("label"))
     fitted = models.fit_trees(
         train, wrong, models.BoostedTrees(rounds=200, patience=3), PLANTED, categorical=[]
     )
-    assert fitted.model.getNumTrees == 1 and len(fitted.validation_losses) == 4
+    curve = [area for _, area in fitted.ensemble.held_curve]
+    assert len(fitted.ensemble.trees) - 1 == curve.index(max(curve)) == len(curve) - 4
 
 
 def test_categorical_ids_unseen_in_training_are_kept(planted):

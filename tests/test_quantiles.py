@@ -4,7 +4,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from basketloom.operators.quantiles import exact_quantiles, histogram, tail_summary
+from basketloom.operators import quantiles
+from basketloom.operators.quantiles import (
+    exact_quantiles,
+    histogram,
+    narrowed_quantiles,
+    tail_summary,
+)
 
 PROBS = {"q10": 0.1, "q50": 0.5, "q90": 0.9, "q999": 0.999}
 
@@ -28,6 +34,49 @@ def test_quantiles_without_groups_under_heavy_repetition(spark):
     assert [row[n] for n in PROBS] == pytest.approx([np.quantile(values, p) for p in PROBS.values()])
 
 
+GROUPS = {
+    "whole": np.random.default_rng(3).integers(0, 50, 1001).astype(float),
+    "real": np.random.default_rng(4).exponential(3, 800),
+    "far": np.array([-1e300, 1e300, *np.random.default_rng(5).normal(0, 1e-9, 300)]),
+    "crowded": np.append(1.0 + np.arange(500) * 2.0**-52, [5e8, -5e8]),
+    "same": np.full(40, 2.5),
+    "one": np.array([4.5]),
+    "infinite": np.append(np.arange(30.0), [np.inf, np.inf]),
+}
+
+
+@pytest.mark.parametrize(("parts", "narrowings"), [(1024, 2), (4, 3), (2, 0)])
+def test_narrowed_quantiles(spark, monkeypatch, parts, narrowings):
+    monkeypatch.setattr(quantiles, "PARTS", parts)
+    monkeypatch.setattr(quantiles, "NARROWINGS", narrowings)
+    data = [(g, None, float(v)) for g, vs in GROUPS.items() for v in vs]
+    data += [("whole", None, None), (None, "x", 1.0), (None, "x", 2.0), ("nulls", None, None)]
+    df = spark.createDataFrame(data, "g string, h string, v double").repartition(5)
+    got = {r.g: r for r in narrowed_quantiles(df, "v", PROBS, ["g", "h"]).collect()}
+    assert set(got) == {*GROUPS, None} and got[None].q50 == 1.5
+    for g, vs in GROUPS.items():
+        for name, p in PROBS.items():
+            values = np.sort(vs)
+            low, high = values[int(np.floor(p * (len(vs) - 1)))], values[int(np.ceil(p * (len(vs) - 1)))]
+            part = p * (len(vs) - 1) % 1
+            expected = low + (high - low) * part
+            assert got[g][name] == pytest.approx(expected, rel=1e-12, nan_ok=True), (g, name)
+    row = narrowed_quantiles(df.where("g = 'real'"), "v", PROBS).collect()[0]
+    assert row.q90 == pytest.approx(np.quantile(GROUPS["real"], 0.9))
+    assert narrowed_quantiles(df.where("v > 1e301 AND v < 1e302"), "v", PROBS).collect() == []
+
+
+def test_narrowing_moves_counts_only(spark):
+    df = spark.range(0, 200_000, numPartitions=4).select(F.rand(7).alias("v"))
+    df = df.persist()
+    try:
+        values = sorted(r.v for r in df.collect())
+        row = narrowed_quantiles(df, "v", {"q50": 0.5}).collect()[0]
+        assert row.q50 == pytest.approx((values[99_999] + values[100_000]) / 2, abs=1e-15)
+    finally:
+        df.unpersist()
+
+
 def test_tail_summary(spark):
     df = spark.createDataFrame([("m", float(v)) for v in range(1, 101)], "measure string, value double")
     row = tail_summary(df).collect()[0]

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketloom.operators.running import (
+    carried,
     dense_ids,
     first_per_key,
     running_totals,
@@ -34,6 +35,16 @@ def test_running_totals_cross_block_borders(spark):
     assert all(r.s == want[r.k, r.i] - r.x for r in before.collect())
 
 
+@pytest.mark.parametrize("width", [1, 7, 1000])
+def test_carried_values_cross_empty_blocks(spark, width):
+    data = [(k, i * i) for k in (1, 2) for i in range(3 * k, 20)] + [(None, 5), (None, 9)]
+    df = spark.createDataFrame(data, "k int, i int").repartition(4)
+    got = carried(df, ["k"], F.floor(F.col("i") / width), "i", "before").collect()
+    want = {(k, i * i): (i - 1) ** 2 if i > 3 * k else None for k in (1, 2) for i in range(3 * k, 20)}
+    assert {(r.k, r.i): r.before for r in got if r.k} == want
+    assert len(got) == len(data)
+
+
 @pytest.mark.parametrize("fan", [2, 4, 32])
 def test_balanced_blocks_follow_the_value(spark, fan):
     counts = spark.createDataFrame([(float(v * v), v + 1) for v in range(500)], "v double, n int")

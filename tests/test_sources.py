@@ -1,13 +1,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import random
 
 import pytest
 
 from basketloom.schemas import SCHEMAS
 from basketloom.session import shared_dir
-from basketloom.sources import Stage, read_delimited, warehouse
+from basketloom.sources import Stage, read_delimited, stage_for, staging, warehouse
 from basketloom.sources.delimited import DEFAULT_FILES
 
 
@@ -43,8 +44,34 @@ def test_stage_builds_once_and_reads_back(spark):
     assert stage.root.startswith(shared_dir(spark))
 
 
-def test_orders_of_a_dominant_customer_are_numbered_exactly(spark, monkeypatch):
+def test_a_closed_stage_leaves_nothing(spark):
+    with Stage(spark, "closing") as stage:
+        assert stage.table("a/b", lambda: spark.range(5)).count() == 5
+        assert os.path.isdir(stage.root.removeprefix("file://"))
+    assert not os.path.exists(stage.root.removeprefix("file://"))
+
+
+def test_a_changed_file_gives_a_new_stage(spark, tmp_path):
+    for name in staging.INPUTS:
+        spark.range(3).write.parquet(str(tmp_path / f"{name}.parquet"))
+    folder = str(tmp_path)
+    first = stage_for(spark, folder)
+    made = first.table("t", lambda: spark.range(2))
+    assert stage_for(spark, folder) is first and made.count() == 2
+    spark.range(4).write.mode("append").parquet(str(tmp_path / "part.parquet"))
+    second = stage_for(spark, folder)
+    assert second is not first and not os.path.exists(first.root.removeprefix("file://"))
+    second.table("t", lambda: spark.range(2))
+    staging._stages, kept = {k: v for k, v in staging._stages.items() if k[1] == folder}, staging._stages
+    staging.close_stages(spark)
+    assert not staging._stages and not os.path.exists(second.root.removeprefix("file://"))
+    staging._stages = {k: v for k, v in kept.items() if k[1] != folder}
+
+
+@pytest.mark.parametrize("days", [1, 64, 10_000])
+def test_orders_of_a_dominant_customer_are_numbered_exactly(spark, monkeypatch, days):
     monkeypatch.setattr(warehouse, "KEYS_PER_BLOCK", 16)
+    monkeypatch.setattr(warehouse, "DAYS_PER_BLOCK", days)
     rng = random.Random(2)
     start = dt.datetime(2020, 1, 1)
     raw = []
