@@ -3,12 +3,12 @@
 1. Documents with equal shingle sets are one class. A class has ``ROWS * BANDS`` minima, each under a
    multiply-add hash of its own, and a key for every band of ``ROWS`` of them. Two sets of similarity
    0.8 miss every band with a chance of (1 - 0.8^ROWS)^BANDS, below 1e-9.
-2. First pass: classes of a bucket (equal band keys) meet its smallest class. The signatures, a byte
-   of every minimum, drop pairs that agree too seldom; the rest is confirmed on the full sets.
-3. Second pass: buckets that still hold several components. Their classes meet in square tiles, whose
-   tasks compare signatures in blocks; only pairs that may be similar and would join two components
-   come out, and these are confirmed as well. Linked copies hence cost one pair each, not one with
-   each other.
+2. First pass: classes of a bucket (equal band keys) meet its smallest class, the hub. The signatures, a
+   byte of every minimum, drop pairs that agree too seldom; the rest is confirmed on the full sets.
+3. Second pass: any two classes of a bucket share its hub. Where the classes around a hub are still in
+   several components, they meet in square tiles with their sets: signatures are compared in blocks,
+   what agrees is confirmed in the task, and only links that join two components come out, fewer than
+   the tile has rows. The largest component of a hub meets the others, but not itself.
 4. Components by alternating large-star and small-star.
 """
 
@@ -18,11 +18,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .connected import components
-from .shared import documents, mix, slices, span_hashes, written
+from .shared import documents, mix, slices, span_hashes, spread, written
 
 SHINGLE = 2
 PERCENT = 80
@@ -31,8 +32,9 @@ BANDS = 40
 # Equal minima of two signatures, at least: a pair of similarity 0.8 has 128 of 160 on average, and
 # fewer than 90 with a chance below 1e-10.
 AGREEING = 90
-# Classes of a tile's side: a task compares two sides at a time.
+# Classes and shingles of a tile's side: a task compares two sides at a time.
 TILE = 2048
+TILE_SHINGLES = 1 << 21
 # Elements of a block of hash values, of which a task holds a few at a time.
 BLOCK = 1 << 19
 
@@ -85,15 +87,13 @@ def digests(values: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def _class_of(first: np.ndarray, second: np.ndarray, size: np.ndarray) -> pa.Array:
-    """32 hexadecimal digits for every set, null for empty ones."""
-    both = np.stack([first, second], axis=1).astype(">u8").tobytes()
-    names = [
-        both[16 * i : 16 * i + 16].hex() if n else None for i, n in enumerate(size.tolist())
-    ]
-    return pa.array(names, pa.string())
+    """16 bytes for every set, null for empty ones."""
+    both = np.stack([first, second], axis=1).tobytes()
+    names = [both[16 * i : 16 * i + 16] if n else None for i, n in enumerate(size.tolist())]
+    return pa.array(names, pa.binary())
 
 
-SIGNED = "doc_id long, row_key long, size long, class string, head binary, bands array<long>"
+SIGNED = "doc_id long, row_key long, size long, class binary, head binary, bands array<long>"
 
 
 def _sign(width: int):
@@ -160,27 +160,57 @@ def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
-def _tiles(key: tuple, table: pa.Table) -> pa.Table:
-    """Pairs of a bucket's two tiles that may be similar and would join two components."""
-    names = table["class"].to_pylist()
-    heads = _signatures(table["head"])
-    root = table["root"].combine_chunks().dictionary_encode().indices.to_numpy()
-    left = np.flatnonzero(table["left"].to_numpy())
-    right = np.flatnonzero(table["right"].to_numpy())
-    close = agreement(heads[left], heads[right]) >= AGREEING
-    close &= root[left][:, None] != root[right][None, :]
-    found = {
-        (min(names[x], names[y]), max(names[x], names[y]))
-        for x, y in zip(left[np.nonzero(close)[0]], right[np.nonzero(close)[1]], strict=True)
-    }
-    a, b = zip(*found, strict=True) if found else ((), ())
-    return pa.table([pa.array(a, pa.string()), pa.array(b, pa.string())], names=["a", "b"])
+def _joining(percent: int):
+    """Links between the two sides of a hub's tile that join components, confirmed on full sets."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        names = table["class"].to_pylist()
+        heads = _signatures(table["head"])
+        lists = table["shingles"].combine_chunks()
+        size = pc.list_value_length(lists).to_numpy()
+        begin = np.append(0, np.cumsum(size))
+        _, code = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        marked = np.zeros(int(code.max()) + 1, bool)
+        parent = table["root"].combine_chunks().dictionary_encode().indices.to_pylist()
+        group = list(range(max(parent) + 1))
+
+        def top(i: int) -> int:
+            at = parent[i]
+            while group[at] != at:
+                group[at] = group[group[at]]
+                at = group[at]
+            return at
+
+        left = np.flatnonzero(table["left"].to_numpy())
+        right = np.flatnonzero(table["right"].to_numpy())
+        close = agreement(heads[left], heads[right]) >= AGREEING
+        found = []
+        for i, near in zip(left.tolist(), close, strict=True):
+            mine = top(i)
+            others = np.array([j for j in right[near].tolist() if top(j) != mine], np.int64)
+            if not len(others):
+                continue
+            own = code[begin[i] : begin[i + 1]]
+            marked[own] = True
+            at = np.repeat(begin[others], size[others]) + spread(size[others])
+            both = np.add.reduceat(marked[code[at]], np.cumsum(size[others]) - size[others], dtype=np.int64)
+            marked[own] = False
+            alike = 100 * both >= percent * (size[i] + size[others] - both)
+            for j in others[alike].tolist():
+                one, two = top(i), top(j)
+                if one != two:
+                    group[max(one, two)] = min(one, two)
+                    found.append((names[i], names[j]))
+        a, b = zip(*found, strict=True) if found else ((), ())
+        return pa.table([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+    return run
 
 
 def _tiles_of() -> Column:
-    """The tiles that a row of a mixed bucket goes to, and on which side of each it stands.
+    """The tiles that a row around a mixed hub goes to, and on which side of each it stands.
 
-    Kind 0 compares the smaller components of a bucket with each other, kind 1 with the largest.
+    Kind 0 compares the smaller components of a hub with each other, kind 1 with the largest.
     """
 
     def tile(kind: int, row: Column, column: Column, left: Column, right: Column) -> Column:
@@ -232,28 +262,28 @@ def _similar(percent: int):
     return run
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, source: DataFrame, width: int, percent: int):
-    """The pairs (a, b) of classes whose full sets are similar enough.
-
-    One text of every class in ``pairs`` becomes a set again.
-    """
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    texts = involved.join(classes, "class").select(
+def full_sets(names: DataFrame, classes: DataFrame, source: DataFrame, width: int) -> DataFrame:
+    """(class, shingles) of every class in ``names``: one text of each becomes a set again."""
+    texts = names.join(classes, "class").select(
         F.col("row.doc_id").alias("d"), F.col("row.row_key").alias("k")
     )
     same = source.doc_id.eqNullSafe(texts.d) & (source.row_key == texts.k)
-    sets = written(
+    return written(
         source.join(texts, same, "left_semi")
         .select("text")
-        .mapInArrow(_sets(width), "class string, shingles array<long>"),
+        .mapInArrow(_sets(width), "class binary, shingles array<long>"),
         "minhash-sets",
     ).dropDuplicates(["class"])  # rows that repeat a doc_id and its text
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets are similar enough."""
     left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("set_b"))
     return (
         pairs.join(left, "a").join(right, "b")
         .select("a", "b", "set_a", "set_b")
-        .mapInArrow(_similar(percent), "a string, b string")
+        .mapInArrow(_similar(percent), "a binary, b binary")
     )
 
 
@@ -288,6 +318,7 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
             F.min(row).alias("row"),
             F.first("head").alias("head"),
             F.first("bands").alias("bands"),
+            F.first("size").alias("size"),
         ),
         "minhash-classes",
     )
@@ -302,52 +333,63 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
         .where("hub <> other")
         .drop("other")
     )
-    placed = written(entries.join(hubs, ["band", "key"]), "minhash-buckets")
-    proposals = (
-        placed.where("class <> hub").select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
+    proposals = written(
+        entries.join(hubs, ["band", "key"])
+        .where("class <> hub")
+        .select(F.col("hub").alias("a"), F.col("class").alias("b"))
+        .distinct(),
+        "minhash-proposals",
     )
 
-    def with_heads(pairs: DataFrame) -> DataFrame:
-        return (
-            pairs.join(heads.toDF("a", "head_a"), "a")
-            .join(heads.toDF("b", "head_b"), "b")
-            .mapInArrow(_agree, "a string, b string")
-        )
-
-    first = written(with_heads(proposals), "minhash-pairs")
-    links = written(confirmed(first, classes, source, width, percent), "minhash-links")
+    first = written(
+        proposals.join(heads.toDF("a", "head_a"), "a")
+        .join(heads.toDF("b", "head_b"), "b")
+        .mapInArrow(_agree, "a binary, b binary"),
+        "minhash-pairs",
+    )
+    involved = first.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    sets = full_sets(involved, classes, source, width)
+    links = written(confirmed(first, sets, percent), "minhash-links")
     labels = components(links)
 
-    # Second pass: buckets with several components beside the hub, whose pairs are decided. The
-    # largest component of a bucket meets the others, but not itself.
-    rooted = (
-        placed.where("class <> hub")
-        .join(labels.withColumnRenamed("node", "class"), "class", "left")
-        .select("class", "band", "key", F.coalesce("root", "class").alias("root"))
+    # Second pass: around every hub with several components.
+    around = proposals.select(F.col("a").alias("hub"), F.col("b").alias("class"))
+    rooted = written(
+        around.join(labels.withColumnRenamed("node", "class"), "class", "left")
+        .select("class", "hub", F.coalesce("root", "class").alias("root"))
+        .join(members.select("class", "size"), "class"),
+        "minhash-around",
     )
     mixed = (
-        rooted.groupBy("band", "key", "root")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("band", "key")
-        .agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n"))
-        .where("n > top.n")
-        .select(
-            "band",
-            "key",
-            F.col("top.root").alias("top"),
-            F.ceil(F.col("top.n") / TILE).cast("int").alias("top_sides"),
-            F.ceil((F.col("n") - F.col("top.n")) / TILE).cast("int").alias("sides"),
+        rooted.groupBy("hub", "root")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("tokens"))
+        .groupBy("hub")
+        .agg(
+            F.max(F.struct("n", "root", "tokens")).alias("top"),
+            F.sum("n").alias("n"),
+            F.sum("tokens").alias("tokens"),
         )
+        .where("n > top.n")
+    )
+
+    def sides(n: Column, tokens: Column) -> Column:
+        return F.ceil(F.greatest(n / TILE, tokens / TILE_SHINGLES)).cast("int")
+
+    mixed = mixed.select(
+        "hub",
+        F.col("top.root").alias("top"),
+        sides(F.col("top.n"), F.col("top.tokens")).alias("top_sides"),
+        sides(F.col("n") - F.col("top.n"), F.col("tokens") - F.col("top.tokens")).alias("sides"),
     )
+    open_rows = written(rooted.join(mixed, "hub"), "minhash-open")
+    open_sets = full_sets(open_rows.select("class").distinct(), classes, source, width)
     dealt = (
-        rooted.join(mixed, ["band", "key"])
-        .join(heads, "class")
-        .select("band", "key", "class", "root", "head", F.explode(_tiles_of()).alias("tile"))
-        .select("band", "key", "class", "root", "head", "tile.*")
+        open_rows.join(heads, "class")
+        .join(open_sets, "class")
+        .select("hub", "class", "root", "head", "shingles", F.explode(_tiles_of()).alias("tile"))
+        .select("hub", "class", "root", "head", "shingles", "tile.*")
     )
-    across = dealt.groupBy("band", "key", "kind", "row", "column").applyInArrow(_tiles, "a string, b string")
-    second = written(across.distinct().join(first, ["a", "b"], "left_anti"), "minhash-pairs")
-    more = confirmed(second, classes, source, width, percent)
+    more = dealt.groupBy("hub", "kind", "row", "column").applyInArrow(_joining(percent), "a binary, b binary")
     linked = written(components(links.unionByName(more)), "minhash-components")
 
     lead = (
