@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import finite_or_zero, is_literal_missing
 from ..schemas import Tables
-from .quantiles import narrowed_quantiles
+from .quantiles import Measure, moments, narrowed_quantiles
 from .running import top_overall
 
 
@@ -33,25 +33,20 @@ def preview(df: DataFrame, order: Sequence[str], n: int = 10) -> DataFrame:
 def describe_numeric(frames: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     """count, mean, sample std, min, quartiles and max: one row per (table, column).
 
-    ``frames`` maps a table name to its frame and numeric columns. All columns are laid out as
-    (table, column, value) rows; quartiles are found by narrowing, which moves counts only.
+    ``frames`` maps a table name to its frame and numeric columns. One pass over each table gives the
+    moments; quartiles are found by narrowing, which moves counts only.
     """
-    long = union_all(
-        df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-        .unpivot([], list(columns), "column", "value")
-        .withColumn("table", F.lit(name))
-        for name, (df, columns) in frames.items()
-    )
-    by = ["table", "column"]
-    basic = long.groupBy(*by).agg(
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    quartiles = narrowed_quantiles(long, "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, by)
-    return basic.join(quartiles, by, "left")
+    names = [(name, c) for name, (_, columns) in frames.items() for c in columns]
+    measures = [Measure(frames[name][0], F.col(c)) for name, c in names]
+    known = moments(measures)
+    quartiles = narrowed_quantiles(measures, [0.25, 0.5, 0.75], known)
+    rows = [
+        (*name, m.n, m.mean, m.std, m.min, m.max, *own)
+        for name, m, own in zip(names, known, quartiles, strict=True)
+    ]
+    spark = next(iter(frames.values()))[0].sparkSession
+    doubles = ", ".join(f"{c} double" for c in ("mean", "std", "min", "max", "q25", "q50", "q75"))
+    return spark.createDataFrame(rows, f"table string, column string, n long, {doubles}")
 
 
 def null_profile(frames: Mapping[str, DataFrame]) -> DataFrame:

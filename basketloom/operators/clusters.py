@@ -177,8 +177,9 @@ def fit_clusters(
     """For every k the fit of least inertia among ``restarts``.
 
     A restart draws its first centres by squared distance; every k takes as many of them as it needs.
-    Fits move their centres until none moves by more than ``tolerance``, or ``steps`` times. A cluster
-    that loses all rows keeps its centre. There must be at least one row.
+    A fit moves its centres until their squared moves add up to no more than ``tolerance`` times the mean
+    variance of the columns, or ``steps`` times. A cluster that loses all rows keeps its centre. There
+    must be at least one row.
     """
     width = len(columns)
     rows = df.select(
@@ -191,6 +192,8 @@ def fit_clusters(
             salts = [((seed + r) * _ODD + step * 0x632BE59BD9B4E019) % (1 << 64) for r in range(restarts)]
             following = _next_centres(rows, width, drawn, salts)
             drawn = np.concatenate([drawn, following[:, None, :]], axis=1)
+        variances = rows.agg(*[F.var_pop(f"x{i}") for i in range(width)]).first()
+        enough = tolerance * float(np.mean([v or 0.0 for v in variances]))
         centres = {k: drawn[:, :k].copy() for k in ks}
         moving = {k: np.arange(restarts) for k in ks}
         for _ in range(steps):
@@ -201,9 +204,9 @@ def fit_clusters(
                 which, n = moving[k], total[0]
                 means = np.moveaxis(total[1:], 0, -1) / UNIT / np.maximum(n, 1)[:, :, None]
                 after = np.where(n[:, :, None] > 0, means, active[k])
-                moved = np.sqrt(((after - active[k]) ** 2).sum(axis=2)).max(axis=1)
+                moved = ((after - active[k]) ** 2).sum(axis=(1, 2))
                 centres[k][which] = after
-                moving[k] = which[moved > tolerance]
+                moving[k] = which[moved > enough]
         last = _sums(rows, width, centres)
     finally:
         rows.unpersist()

@@ -12,11 +12,13 @@ from ..functions.columns import RECENCY_LABELS
 from .cleaning import rows_of, union_all
 from .purchases import last_orders
 from .quantiles import (
+    Measure,
     exact_quantiles,
     histogram,
     narrowed_quantiles,
     quantiles_of_counts,
     tail_summary,
+    tails_of_columns,
     value_counts,
 )
 from .running import top_overall
@@ -133,11 +135,9 @@ def long_tail_summary(orders: DataFrame, history: DataFrame, target: DataFrame)
             _measure(pair_counts(history), "pair_purchases", "up_buy_cnt"),
         ]
     )
-    gaps = F.coalesce("days_since_prior_order", F.lit(0.0))
+    gaps = Measure(orders, F.coalesce("days_since_prior_order", F.lit(0.0)))
     # Gaps may be fractions of days: as many values as there are orders.
-    return tail_summary(sizes, sizes=True).unionByName(
-        tail_summary(_measure(orders, "days_since_prior_order", gaps))
-    )
+    return tail_summary(sizes).unionByName(tails_of_columns({"days_since_prior_order": gaps}))
 
 
 def distribution(df: DataFrame, value: str, bins: int = 80, log1p: bool = False) -> DataFrame:
@@ -208,8 +208,10 @@ def busiest_hours(orders: DataFrame, n: int = 5) -> DataFrame:
 
 def gap_quantiles(orders: DataFrame) -> DataFrame:
     """Median, 90th and 99th percentile of gap days, first orders counting as 0."""
-    filled = orders.na.fill({"days_since_prior_order": 0.0})
-    return narrowed_quantiles(filled, "days_since_prior_order", PLOT_PROBS)
+    gaps = Measure(orders, F.coalesce("days_since_prior_order", F.lit(0.0)))
+    found = narrowed_quantiles([gaps], list(PLOT_PROBS.values()))
+    schema = ", ".join(f"{name} double" for name in PLOT_PROBS)
+    return orders.sparkSession.createDataFrame([tuple(found[0])], schema)
 
 
 def product_popularity(history: DataFrame) -> DataFrame:

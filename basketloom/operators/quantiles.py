@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -85,117 +88,166 @@ def exact_quantiles(
     return quantiles_of_counts(value_counts(df, value, by), probs, by, sizes)
 
 
-def _position(p: float, n: Column) -> Column:
-    return F.lit(float(p)) * (n - 1)
+@dataclass(frozen=True)
+class Measure:
+    """A numeric column of a frame."""
 
+    df: DataFrame
+    value: Column
 
-def _group_key(by: Sequence[str]) -> Column:
-    """One text for the group columns; a null is told apart from every value."""
-    parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in by]
-    return F.concat_ws("\u0001", F.lit(""), *parts)
+
+@dataclass
+class Moments:
+    """What one pass tells about a measure; nulls do not count."""
+
+    n: int
+    mean: float | None
+    std: float | None
+    min: float | None
+    max: float | None
+
+
+def moments(measures: Sequence[Measure]) -> list[Moments]:
+    """Count, mean, sample deviation and ends of every measure, one job for each frame."""
+    found: list[Moments | None] = [None] * len(measures)
+    for places in _by_frame(measures):
+        columns = []
+        for i in places:
+            v = measures[i].value.cast("double")
+            columns.append(
+                F.struct(F.count(v), F.avg(v), F.stddev_samp(v), F.min(v), F.max(v)).alias(f"m{i}")
+            )
+        row = measures[places[0]].df.agg(*columns).first()
+        for i in places:
+            found[i] = Moments(*row[f"m{i}"])
+    return found
+
+
+def _by_frame(measures: Sequence[Measure]) -> list[list[int]]:
+    """Places of the measures, those of one frame together."""
+    frames: dict[int, list[int]] = {}
+    for i, measure in enumerate(measures):
+        frames.setdefault(id(measure.df), []).append(i)
+    return list(frames.values())
 
 
 def narrowed_quantiles(
-    df: DataFrame, value: Column | str, probs: Mapping[str, float], by: Sequence[str] = ()
-) -> DataFrame:
-    """Exact quantiles per ``by`` group of raw rows, without a shuffle of the values.
+    measures: Sequence[Measure], probs: Sequence[float], known: Sequence[Moments] | None = None
+) -> list[list[float | None]]:
+    """Exact quantiles of raw columns, without a shuffle of the values.
 
-    A group's range is cut into ``PARTS`` of equal width, and rows are counted by part. The few parts
+    A measure's range is cut into ``PARTS`` of equal width, and rows are counted by part. The few parts
     that hold a wanted rank are the next ranges, from their least to their greatest value. What is
-    left after ``NARROWINGS`` of these, about one value in a million, is counted by value. Only counts
-    move; each step reads the input again. Values that crowd together cost more of that last step,
-    never a wrong result. ``by`` must be a report dimension: the ranges of all groups are one small
-    map. Nulls are ignored.
+    left after ``NARROWINGS`` of these, about one value in a million, is counted by value; a range of
+    one value is done before. Only counts move. A step is one job, which reads the frames again; the
+    driver sees the parts that hold a wanted rank, no more than two for each quantile. Values that crowd
+    together cost more of the last step, never a wrong result. A measure without values has null ones.
     """
-    column = F.col(value) if isinstance(value, str) else value
-    rows = df.select(*by, _group_key(by).alias("_key"), column.cast("double").alias("_v")).where(
-        F.col("_v").isNotNull()
-    )
-    ends = rows.groupBy(*by, "_key").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")
-    )
-    ranks = F.array(
-        *[r(_position(p, F.col("_n"))) for p in probs.values() for r in (F.floor, F.ceil)]
-    )
-    span = F.struct("lo", "hi", F.lit(0).cast("long").alias("before"))
-    state = ends.select("_key", F.struct(ranks.alias("ranks"), F.array(span).alias("spans")).alias("_s"))
-
-    def located(state: DataFrame) -> DataFrame:
-        """Rows inside a range of their group, with that range; a scalar subquery brings the ranges."""
-        packed = state.agg(
-            F.map_from_entries(F.collect_list(F.struct("_key", "_s")))
-        ).scalar()
-        mine = F.element_at(F.col("_ranges"), F.col("_key"))
-        held = F.filter(mine.spans, lambda s: (F.col("_v") >= s.lo) & (F.col("_v") <= s.hi))
-        return (
-            rows.select("_key", "_v", packed.alias("_ranges"))
-            .select("_key", "_v", mine.ranks.alias("_ranks"), F.get(held, F.lit(0)).alias("_in"))
-            .where(F.col("_in").isNotNull())
+    known = moments(measures) if known is None else known
+    positions = [[float(p) * (m.n - 1) for p in probs] if m.n else [] for m in known]
+    ranks = [sorted({r for p in own for r in (math.floor(p), math.ceil(p))}) for own in positions]
+    at: list[dict[int, float]] = [{} for _ in measures]
+    # (measure, least value, greatest value, rank at which it starts, rank at which it ends)
+    spans = [(i, m.min, m.max, 0, m.n) for i, m in enumerate(known) if m.n]
+    for step in range(NARROWINGS + 1):
+        wide = [span for span in spans if span[1] != span[2]]
+        for i, lo, hi, start, end in spans:
+            if lo == hi:
+                at[i].update((r, lo) for r in ranks[i] if start <= r < end)
+        if not wide:
+            break
+        last = step == NARROWINGS
+        held = _held(measures, wide, last)
+        counts = held.groupBy("span", "place").agg(
+            F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
         )
-
-    def placed(counts: DataFrame, order: str) -> DataFrame:
-        """Counts with the rank at which each starts, where that holds a wanted one."""
-        before = Window.partitionBy("_key", "_lo").orderBy(order)
-        start = F.col("_before") + F.coalesce(
-            F.sum("n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        )
-        found = counts.withColumn("start", start)
-        wanted = (F.col("start"), F.col("start") + F.col("n"))
-        return found.where(F.exists("_ranks", lambda r: (r >= wanted[0]) & (r < wanted[1])))
-
-    inside = ["_key", F.col("_in.lo").alias("_lo")]
-    kept = [F.first("_ranks").alias("_ranks"), F.first("_in.before").alias("_before")]
-    for _ in range(NARROWINGS):
-        lo, hi = F.col("_in.lo"), F.col("_in.hi")
-        place = F.floor((F.col("_v") - lo) / (hi - lo) * PARTS)
-        usable = (hi > lo) & ((hi - lo) < float("inf"))
-        part = F.when(usable, F.least(place, F.lit(PARTS - 1))).otherwise(0)
-        counts = located(state).groupBy(*inside, part.alias("_part")).agg(
-            F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"), *kept
-        )
-        state = placed(counts, "_part").groupBy("_key").agg(
-            F.struct(
-                F.first("_ranks").alias("ranks"),
-                F.collect_list(F.struct("lo", "hi", F.col("start").alias("before"))).alias("spans"),
-            ).alias("_s")
-        )
-    counts = located(state).groupBy(*inside, "_v").agg(F.count(F.lit(1)).alias("n"), *kept)
-    hits = placed(counts, "_v").select("_key", F.explode("_ranks").alias("rank"), "start", "n", "_v")
-    hits = hits.where((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("n")))
-    values = hits.groupBy("_key").agg(
-        F.map_from_entries(F.collect_set(F.struct("rank", "_v"))).alias("_at")
+        found = _holding(counts, wide, ranks).collect()
+        spans = [
+            (wide[r["span"]][0], r["lo"], r["hi"], r["start"], r["start"] + r["n"]) for r in found
+        ]
+        if last:
+            for i, value, _, start, end in spans:
+                at[i].update((r, value) for r in ranks[i] if start <= r < end)
+
+    def quantile(i: int, position: float) -> float:
+        low, high = at[i][math.floor(position)], at[i][math.ceil(position)]
+        part = position - math.floor(position)
+        return low if low == high else low + (high - low) * part
+
+    return [
+        [quantile(i, p) for p in own] if own else [None] * len(probs)
+        for i, own in enumerate(positions)
+    ]
+
+
+def _held(measures: Sequence[Measure], spans: Sequence[tuple], by_value: bool) -> DataFrame:
+    """(span, place, value) of every value inside a span; its place is a part, or the value itself."""
+    frames = []
+    for places in _by_frame(measures):
+        rows = []
+        for number, (i, lo, hi, *_) in enumerate(spans):
+            if i not in places:
+                continue
+            v = measures[i].value.cast("double")
+            place = v
+            if not by_value:
+                width = hi - lo
+                # An infinite range is not cut.
+                place = F.floor((v - lo) / width * PARTS) if math.isfinite(width) else F.lit(0)
+                place = F.least(place, F.lit(PARTS - 1)).cast("double")
+            row = F.struct(F.lit(number).alias("span"), place.alias("place"), v.alias("value"))
+            rows.append(F.when((v >= F.lit(lo)) & (v <= F.lit(hi)), row))
+        if rows:
+            frames.append(measures[places[0]].df.select(F.inline(F.array_compact(F.array(*rows)))))
+    return reduce(DataFrame.union, frames)
+
+
+def _holding(counts: DataFrame, spans: Sequence[tuple], ranks: Sequence[Sequence[int]]) -> DataFrame:
+    """Counts that hold a wanted rank, with the rank at which each starts."""
+    before = Window.partitionBy("span").orderBy("place")
+    earlier = F.sum("n").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    wanted = F.array(
+        *[F.array(*[F.lit(r).cast("long") for r in ranks[i]]) for i, *_ in spans]
     )
-    joined = ends.select(*by, "_key", "_n").join(values, "_key")
-
-    def quantile(p: float) -> Column:
-        position = _position(p, F.col("_n"))
-        low = F.element_at("_at", F.floor(position))
-        return low + (F.element_at("_at", F.ceil(position)) - low) * (position - F.floor(position))
-
-    return joined.select(*by, *[quantile(p).alias(name) for name, p in probs.items()])
+    base = F.array(*[F.lit(span[3]).cast("long") for span in spans])
+    place = F.col("span") + 1
+    found = counts.withColumn("start", F.element_at(base, place) + F.coalesce(earlier, F.lit(0)))
+    end = F.col("start") + F.col("n")
+    hit = F.exists(F.element_at(wanted, place), lambda r: (r >= F.col("start")) & (r < end))
+    return found.where(hit).select("span", "n", "lo", "hi", "start")
 
 
 # The quantiles reported for long-tailed measures.
 TAIL_PROBS = {"q50": 0.5, "q90": 0.9, "q95": 0.95, "q99": 0.99, "q999": 0.999}
 
 
-def tail_summary(
-    long: DataFrame, by: Sequence[str] = ("measure",), sizes: bool = False
-) -> DataFrame:
-    """count, min, max and upper quantiles of a long (measure, value) frame, one row per measure.
+TAIL_COLUMNS = ", ".join(f"{name} double" for name in ["min", "max", *TAIL_PROBS])
+
 
-    ``sizes`` says that the values are sizes of disjoint groups; see ``quantiles_of_counts``.
+def tail_summary(long: DataFrame, by: Sequence[str] = ("measure",)) -> DataFrame:
+    """count, min, max and upper quantiles of a long (measure, value) frame of sizes, a row per measure.
+
+    The values are sizes of disjoint groups; see ``quantiles_of_counts``.
     """
-    if sizes:
-        counts = value_counts(long, "value", by)
-        number, ranks = F.sum("n"), quantiles_of_counts(counts, TAIL_PROBS, by, sizes)
-    else:
-        counts = long.where(F.col("value").isNotNull())
-        number, ranks = F.count(F.lit(1)), narrowed_quantiles(long, "value", TAIL_PROBS, by)
+    counts = value_counts(long, "value", by)
     ends = counts.groupBy(*by).agg(
-        number.alias("n"), F.min("value").alias("min"), F.max("value").alias("max")
+        F.sum("n").alias("n"), F.min("value").alias("min"), F.max("value").alias("max")
     )
-    return ends.join(ranks, list(by))
+    return ends.join(quantiles_of_counts(counts, TAIL_PROBS, by, True), list(by))
+
+
+def tails_of_columns(measures: Mapping[str, Measure]) -> DataFrame:
+    """The same summary of raw columns, whose values may all differ."""
+    columns = list(measures.values())
+    known = moments(columns)
+    found = narrowed_quantiles(columns, list(TAIL_PROBS.values()), known)
+    rows = [
+        (name, m.n, m.min, m.max, *own)
+        for name, m, own in zip(measures, known, found, strict=True)
+        if m.n
+    ]
+    spark = columns[0].df.sparkSession
+    return spark.createDataFrame(rows, f"measure string, n long, {TAIL_COLUMNS}")
 
 
 def histogram(

@@ -6,10 +6,13 @@ from pyspark.sql import functions as F
 
 from basketloom.operators import quantiles
 from basketloom.operators.quantiles import (
+    Measure,
     exact_quantiles,
     histogram,
+    moments,
     narrowed_quantiles,
     tail_summary,
+    tails_of_columns,
 )
 
 PROBS = {"q10": 0.1, "q50": 0.5, "q90": 0.9, "q999": 0.999}
@@ -49,32 +52,38 @@ GROUPS = {
 def test_narrowed_quantiles(spark, monkeypatch, parts, narrowings):
     monkeypatch.setattr(quantiles, "PARTS", parts)
     monkeypatch.setattr(quantiles, "NARROWINGS", narrowings)
-    data = [(g, None, float(v)) for g, vs in GROUPS.items() for v in vs]
-    data += [("whole", None, None), (None, "x", 1.0), (None, "x", 2.0), ("nulls", None, None)]
-    df = spark.createDataFrame(data, "g string, h string, v double").repartition(5)
-    got = {r.g: r for r in narrowed_quantiles(df, "v", PROBS, ["g", "h"]).collect()}
-    assert set(got) == {*GROUPS, None} and got[None].q50 == 1.5
-    for g, vs in GROUPS.items():
-        for name, p in PROBS.items():
-            values = np.sort(vs)
-            low, high = values[int(np.floor(p * (len(vs) - 1)))], values[int(np.ceil(p * (len(vs) - 1)))]
-            part = p * (len(vs) - 1) % 1
-            expected = low + (high - low) * part
-            assert got[g][name] == pytest.approx(expected, rel=1e-12, nan_ok=True), (g, name)
-    row = narrowed_quantiles(df.where("g = 'real'"), "v", PROBS).collect()[0]
-    assert row.q90 == pytest.approx(np.quantile(GROUPS["real"], 0.9))
-    assert narrowed_quantiles(df.where("v > 1e301 AND v < 1e302"), "v", PROBS).collect() == []
-
-
-def test_narrowing_moves_counts_only(spark):
-    df = spark.range(0, 200_000, numPartitions=4).select(F.rand(7).alias("v"))
-    df = df.persist()
-    try:
-        values = sorted(r.v for r in df.collect())
-        row = narrowed_quantiles(df, "v", {"q50": 0.5}).collect()[0]
-        assert row.q50 == pytest.approx((values[99_999] + values[100_000]) / 2, abs=1e-15)
-    finally:
-        df.unpersist()
+    # Two frames, columns of different lengths (the rest null), and one without values.
+    names = list(GROUPS)
+    frames, measures = [], []
+    for some in (names[:4], names[4:]):
+        rows = [
+            [float(GROUPS[g][i]) if i < len(GROUPS[g]) else None for g in some] + [None]
+            for i in range(max(len(GROUPS[g]) for g in some))
+        ]
+        schema = ", ".join(f"{g} double" for g in [*some, "nothing"])
+        frames.append(spark.createDataFrame(rows, schema).repartition(5))
+        measures += [Measure(frames[-1], F.col(g)) for g in some]
+    measures.append(Measure(frames[0], F.col("nothing")))
+    got = narrowed_quantiles(measures, list(PROBS.values()))
+    assert got[-1] == [None] * len(PROBS)
+    for g, own in zip(names, got, strict=False):
+        values = np.sort(GROUPS[g])
+        for p, x in zip(PROBS.values(), own, strict=True):
+            position = p * (len(values) - 1)
+            low, high = values[int(np.floor(position))], values[int(np.ceil(position))]
+            expected = low if low == high else low + (high - low) * (position % 1)
+            assert x == pytest.approx(expected, rel=1e-12), (g, p)
+    found = moments(measures)
+    assert [m.n for m in found] == [*(len(GROUPS[g]) for g in names), 0]
+    assert found[1].std == pytest.approx(np.std(GROUPS["real"], ddof=1))
+
+
+def test_tails_of_columns(spark):
+    df = spark.createDataFrame([(float(v), None) for v in range(1, 101)], "v double, w double")
+    got = tails_of_columns({"m": Measure(df, F.col("v")), "none": Measure(df, F.col("w"))}).collect()
+    assert len(got) == 1
+    assert (got[0].measure, got[0].n, got[0].min, got[0].max) == ("m", 100, 1.0, 100.0)
+    assert got[0].q95 == pytest.approx(95.05)
 
 
 def test_tail_summary(spark):
