@@ -85,8 +85,8 @@ def with_balanced_blocks(
 
     There are ``fan`` squared blocks. ``counts`` holds one row per (by, value), so no value repeats
     and a sketch of the values yields even blocks whatever the skew of the raw rows; results do not
-    depend on where the borders fall. ``_total_<c>`` is the sum of each column in ``totals`` over
-    the ``by`` group. ``by`` must be a report dimension (measure, model, ...) named by the caller:
+    depend on where the borders fall. ``_total_<c>`` is the sum of each column in ``totals`` (counts
+    without nulls, or none) over the ``by`` group. ``by`` must be a report dimension (measure, model, ...) named by the caller:
     the borders are then a handful of rows, each with an array of ``fan * fan - 1`` numbers, which
     is what makes it safe to broadcast them.
     """
@@ -94,9 +94,10 @@ def with_balanced_blocks(
     # One text literal instead of a thousand expressions keeps the plan small.
     probes = ",".join(repr(i / blocks) for i in range(1, blocks))
     # Naming a total here keeps this branch's input identical to the main one, so that the
-    # exchange below it is computed once and reused.
+    # exchange below it is computed once and reused. Totals are counts: never null.
+    bordered = f"CASE WHEN {totals[0]} IS NOT NULL THEN {value} END" if totals else value
     borders = F.expr(
-        f"percentile_approx(CASE WHEN {totals[0]} >= 0 THEN {value} END, "
+        f"percentile_approx({bordered}, "
         f"cast(split('{probes}', ',') AS array<double>), {4 * blocks})"
     )
     extra = [borders.alias("_fine"), *[F.sum(c).alias(f"_total_{c}") for c in totals]]
