@@ -100,8 +100,7 @@ def with_next(docs: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     source = source.withColumn("_rank", F.coalesce("doc_id", F.lit(-(1 << 63))))
     rows = docs.count()
     blocks = min(MOST_BLOCKS, max(4, -(-rows // block_rows)))
-    ranked = with_balanced_blocks(source, "_rank", ["_rank"], fan=max(2, int(blocks**0.5) + 1))
-    ranked = ranked.drop("_total__rank")
+    ranked = with_balanced_blocks(source, "_rank", [], fan=max(2, int(blocks**0.5) + 1))
     # One row per block: what is last in it, and the block that has rows after it (or the first).
     last = ranked.groupBy("_block").agg(F.max(F.struct("_rank", "row_key")).alias("_last"))
     after = Window.orderBy("_block")

@@ -169,8 +169,16 @@ def _threads(replies: DataFrame) -> DataFrame:
 
 
 def quoting_archive(conversations: DataFrame) -> DataFrame:
-    """``conversations`` as mail: every turn quotes the one before it, which quotes its own."""
-    base = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    """``conversations`` as mail: every turn quotes the one before it, which quotes its own.
+
+    Rows that repeat a turn are one message, as in ``link_quotes``: the greatest text stays.
+    """
+    text = F.coalesce("text", F.lit("")).alias("text")
+    base = (
+        conversations.groupBy("conv_id", "turn")
+        .agg(F.max(F.struct(text, "role")).alias("kept"))
+        .select("conv_id", "turn", "kept.role", "kept.text")
+    )
 
     def earlier(by: int) -> DataFrame:
         return base.select(

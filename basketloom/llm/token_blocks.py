@@ -35,6 +35,8 @@ CHECKPOINT = 128
 # Distinct parts of texts in each of the two generations that a task remembers.
 REMEMBERED = 200_000
 MAGIC = b"TKB1"
+# Stands for a null doc_id in the file.
+NO_ID = -(1 << 63)
 _tokenizers: dict[str, tuple] = {}
 
 
@@ -227,7 +229,7 @@ def _chunks(path: str, end: int, block_ids: int):
         for batch in batches:
             for low in range(0, len(batch), 200):
                 piece = batch.slice(low, 200)
-                ids = piece.column("doc_id").to_pylist()
+                ids = piece.column("doc_id").fill_null(NO_ID).to_pylist()
                 coded = ids_of(piece.column("text").to_pylist(), path, end)
                 for doc, own in zip(ids, coded):
                     part = doc if part is None else part
@@ -286,9 +288,10 @@ def _decode(shared):
                 crcs = [
                     zlib.crc32(body[4 * (e - n) : 4 * e]) for e, n in zip(ends, lengths)
                 ]
+                docs = np.frombuffer(row["docs"], "<i8")
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.frombuffer(row["docs"], "<i8")),
+                        pa.array(docs, mask=docs == NO_ID),
                         pa.array(ends - lengths + row["first"]),
                         pa.array(lengths),
                         pa.array(crcs, pa.int64()),
@@ -305,8 +308,8 @@ def write_ids(
     """Write the ids of all documents as blocks; returns the table of blocks and the frequencies.
 
     Documents are ordered by doc_id (rows that repeat one by their text); each text is followed by
-    the end id, and a null text has that one only. A row without doc_id has no place in the order:
-    it is refused with an error by the format. The frequencies count every id of every document; the
+    the end id, and a null text has that one only. Rows without doc_id come first; the least 64-bit
+    number stands for it in the file and is no doc_id of its own. The frequencies count every id of every document; the
     driver holds one number for each id of the vocabulary.
     """
     from tokenizers import Tokenizer

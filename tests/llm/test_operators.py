@@ -228,6 +228,14 @@ def test_merkle(spark, docs, texts, empty):
     got = {r.doc_id: r.next_text for r in merkle.with_next(frame, block_rows=3).collect()}
     assert got == expected
     assert merkle.with_next(docs).count() == len(texts)
+    far = [(-1, "a"), (-2, "b"), (-3, "c"), (2**62, "d"), (2**62 + 1, "e"), (2**62 + 2, "f")]
+    rows = merkle.with_next(spark.createDataFrame(far, "doc_id long, text string"), 2).collect()
+    order = sorted(far, reverse=True)
+    follows = {i: order[(k + 1) % len(order)][1] for k, (i, _) in enumerate(order)}
+    assert {r.doc_id: r.next_text for r in rows} == follows
+    bare = [(None, "x"), (None, "y"), (None, None), (5, "z")]
+    rows = merkle.with_next(spark.createDataFrame(bare, "doc_id long, text string"), 2).collect()
+    assert sorted((r.text, r.next_text is not None) for r in rows) == [("", True), ("x", True), ("y", True), ("z", True)]
     assert merkle.with_next(empty).count() == 0
 
 
@@ -252,15 +260,18 @@ def test_token_blocks(spark, docs, texts):
 
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
-    known = docs.where("doc_id is not null")
-    got = token_blocks.read_ids(*token_blocks.write_ids(known, path, block_ids=500)).collect()
-    ordered = sorted(((i, t or "") for i, t in texts if i is not None))
+    more = docs.limit(1).selectExpr("CAST(NULL AS long) AS doc_id", "CAST(NULL AS string) AS text")
+    given = docs.select("doc_id", "text").union(more)
+    got = token_blocks.read_ids(*token_blocks.write_ids(given, path, block_ids=500)).collect()
+    # Rows without doc_id come first; a null text before the others of an id.
+    rows = [*texts, (None, None)]
+    ordered = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     start, expected = 0, []
     for i, t in ordered:
         ids = np.array([*library.encode(t, add_special_tokens=False).ids, 2], "<u4")
         expected.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
         start += len(ids)
-    assert sorted(map(tuple, got)) == sorted(expected)
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, expected))
 
 
 @pytest.mark.parametrize("n", [0, 1, 1023, 1024, 1025, 300_000])
@@ -312,6 +323,14 @@ def test_quotes(spark, empty):
     }
 
 
+def test_quoting_archive_takes_a_turn_once(spark, empty):
+    schema = "conv_id long, turn long, role string, text string, kept string"
+    rows = [(1, turn, "user", f"text {turn}", "clash") for turn in range(3)] * 40 + [(1, 1, "user", "a", None)]
+    got = quotes.quoting_archive(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((r.turn, r.text.count("\n")) for r in got) == [(0, 0), (1, 2), (2, 3)]
+    assert quotes.quoting_archive(spark.createDataFrame([], schema)).count() == 0
+
+
 def test_pipeline_stages_keep_their_columns(spark, docs, tmp_path):
     spark.createDataFrame([(1, "w1 absent")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     frame = docs
