@@ -564,14 +564,14 @@ def oracles() -> dict[str, str]:
                                   unnest(embedding)::double as x from embeddings),
             mean as (select label, i, avg(x) as x from place group by label, i),
             centre as (select label, list(x order by i) as c from mean group by label),
-            both as (select vec_id, label, embedding::double[] as v, c
+            sided as (select vec_id, label, embedding::double[] as v, c
                      from embeddings join centre using (label))
             select vec_id, label, round(sqrt(list_dot_product(v, v)), 6) as norm,
                    round(list_dot_product(v, c), 6) as dot,
                    round(list_dot_product(v, c)
                          / greatest(sqrt(list_dot_product(v, v)) * sqrt(list_dot_product(c, c)), 1e-8),
                          6) as cosine
-            from both""",
+            from sided""",
         "numeric_describe": describe_sql(),
         "null_profile": null_profile_sql(),
         "table_audit": audit_sql(),

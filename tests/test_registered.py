@@ -56,10 +56,24 @@ def plan_of(df) -> list[str]:
     return re.split(r"\n", text.split("== Initial Plan ==")[0])
 
 
+@pytest.fixture(params=["small", "large"])
+def tables_of_size(spark, request):
+    """Joins as for small tables, and as for tables too large to broadcast."""
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    if request.param == "large":
+        for key in keys:
+            spark.conf.set(key, "-1")
+    yield request.param
+    for key in keys:
+        spark.conf.unset(key)
+
+
 @pytest.mark.parametrize("name", PLANS)
-def test_plans_hold_at_scale(spark, name):
+def test_plans_hold_at_scale(spark, name, tables_of_size):
     lines = plan_of(QUERIES[name](spark, FOLDER))
     text = "\n".join(lines)
+    if tables_of_size == "large":
+        assert "BroadcastHashJoin" not in text or "_fine" in text  # block borders are a few numbers
     for banned in ("PythonUDF", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert banned not in text
     # Whatever meets in one partition has been reduced to partial aggregates (or block totals).
@@ -69,6 +83,28 @@ def test_plans_hold_at_scale(spark, name):
             assert "partial_" in below, line + "\n" + lines[i + 1]
 
 
+def test_windows_on_a_customer_see_blocks_of_days(spark):
+    text = "\n".join(plan_of(QUERIES["scan_orders"](spark, FOLDER)))
+    alone = re.findall(r"Window \[[^\n]*\], \[user_id#\d+L?\], \[(\w+)#", text)
+    assert alone and set(alone) == {"_block"}
+
+
+def test_candidates_take_stored_product_features(spark):
+    """A stored product table is joined once; small, it leaves the candidates where they are."""
+    from basketloom.operators import features
+    from basketloom.plans import registered
+    from basketloom.sources import stage_for
+
+    s = stage_for(spark, FOLDER)
+    pairs = registered.pair_totals(s)
+    stored = s.table("product_table", lambda: features.product_table(pairs, s.products))
+    lines = plan_of(features.candidate_table(s.tables(), pairs=pairs, products=stored))
+    assert not any("Exchange hashpartitioning(product_id" in line for line in lines)
+    plain = features.candidate_table(s.tables(), pairs=pairs)
+    with_stored = features.candidate_table(s.tables(), pairs=pairs, products=stored)
+    assert with_stored.exceptAll(plain).isEmpty() and with_stored.count() == plain.count()
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     text = "\n".join(plan_of(QUERIES["labels"](spark, FOLDER)))
     assert "PushedFilters: [IsNotNull(eval_set), EqualTo(eval_set,train)" in text
