@@ -26,7 +26,7 @@ from .shared import documents
 
 MARK = "\u2581"
 # Distinct words, and pairs of pieces, in each of the two generations that a task remembers.
-REMEMBERED = 150_000
+REMEMBERED = 75_000
 # Marks in the table of prefixes: a piece not yet looked at, no standing piece.
 UNSEEN, PASSING = object(), object()
 _loaded: dict[str, Codec] = {}
