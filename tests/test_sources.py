@@ -7,7 +7,7 @@ import random
 import pytest
 
 from basketloom.schemas import SCHEMAS
-from basketloom.session import shared_dir
+from basketloom.session import shared_dir, use_sql_defaults
 from basketloom.sources import Stage, read_delimited, stage_for, staging, warehouse
 from basketloom.sources.delimited import DEFAULT_FILES
 
@@ -128,3 +128,31 @@ def test_any_type_or_brand_is_one_row_of_its_dimension(spark):
     ]
     joined = products.join(aisles, "aisle_id", "left").join(departments, "department_id", "left")
     assert joined.count() == 4
+
+
+def test_lines_are_read_and_exchanged_once(spark):
+    orders = spark.createDataFrame(
+        [(1, 7, "prior", 1)], "order_id long, user_id long, eval_set string, order_number int"
+    )
+    raw = spark.createDataFrame([(1, 5, 1)], "l_orderkey long, l_partkey long, l_linenumber int")
+    # Without adaptive execution, reused exchanges show in the plan.
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = warehouse.warehouse_lines(raw, orders)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert plan.count("Scan ExistingRDD") == 2 and plan.count("ReusedExchange") == 1
+
+
+def test_exchanges_start_with_more_partitions_for_more_input(spark):
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        use_sql_defaults(spark, 1 << 30)
+        assert spark.conf.get(initial) == "512"
+        use_sql_defaults(spark, 1000)
+        assert spark.conf.get(initial) == str(own)
+    finally:
+        spark.conf.unset(initial)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
