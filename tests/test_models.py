@@ -161,3 +161,26 @@ def test_affinity_without_factors_is_zero(spark):
     unseen = spark.createDataFrame([(1, 9)], "user_id long, product_id long")
     row = affinity.score_affinity(unseen, model).collect()[0]
     assert (row.als_dot, row.als_cos) == (0.0, 0.0)
+
+
+def test_blocks_and_cells_follow_the_pairs():
+    assert [affinity.factor_blocks(n) for n in (0, 1000, 64 << 20)] == [6, 6, 8]
+    assert [affinity.cells_a_side(n) for n in (0, 1000, 32 << 20)] == [3, 3, 4]
+
+
+def test_every_pair_has_the_scores_of_its_own_factors(spark):
+    rng = random.Random(4)
+    pairs = {(rng.randrange(40), rng.randrange(30)) for _ in range(400)}
+    df = spark.createDataFrame([(u, i, 1) for u, i in pairs], "user_id long, product_id long, up_buy_cnt long")
+    model = affinity.fit_factors(df, rank=3, iterations=2)
+    users = {r.id: r.features for r in model.userFactors.collect()}
+    items = {r.id: r.features for r in model.itemFactors.collect()}
+    asked = df.unionByName(spark.createDataFrame([(99, 1, 1), (None, 2, 1)], df.schema))
+    scored = affinity.score_affinity(asked, model)
+    assert "features" not in scored.columns and scored.count() == len(pairs) + 2
+    for r in scored.collect():
+        u, i = users.get(r.user_id), items.get(r.product_id)
+        dot = sum(a * b for a, b in zip(u, i, strict=True)) if u and i else 0.0
+        size = math.sqrt(sum(a * a for a in u) * sum(b * b for b in i)) if u and i else 1.0
+        assert math.isclose(r.als_dot, dot, rel_tol=1e-9, abs_tol=1e-12)
+        assert math.isclose(r.als_cos, dot / max(size, 1e-8), rel_tol=1e-9, abs_tol=1e-12)
