@@ -148,6 +148,9 @@ def test_lines_are_read_and_exchanged_once(spark):
 def test_exchanges_start_with_more_partitions_for_more_input(spark):
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.unset(initial)
+    use_sql_defaults(spark)
+    assert spark.conf.get(initial, None) is None
     try:
         use_sql_defaults(spark, 1 << 30)
         assert spark.conf.get(initial) == "512"
