@@ -76,7 +76,10 @@ def find_leaks(
     docs: DataFrame, items: DataFrame, window: int = WINDOW, block: int = BLOCK_WINDOWS
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Words of every document, windows of every item, and places where a window occurs."""
-    words = docs.select("doc_id", row_key().alias("row_key"), item_words().alias("words"))
+    # Read for the rarity of words, for their places and for their number: cut into words once.
+    words = written(
+        docs.select("doc_id", row_key().alias("row_key"), item_words().alias("words")), "words"
+    )
     by_item = written(item_windows(items, window).distinct(), "windows")
     distinct = by_item.select("window").distinct()
     blocks = max(1, -(-distinct.count() // block))

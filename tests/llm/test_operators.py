@@ -157,6 +157,13 @@ def test_decontamination(spark, docs, texts, empty):
     assert not any(r.contaminated for r in decontamination.mark_leaks(docs, bench.limit(0)).collect())
 
 
+def test_decontamination_cuts_texts_once(docs, capsys):
+    # Words were cut again for their rarity, for their places and for their number.
+    words, _, _ = decontamination.find_leaks(docs, docs.selectExpr("doc_id AS item_id", "text").limit(3))
+    words.explain()
+    assert "split(" not in capsys.readouterr().out
+
+
 def test_language_id(spark, docs, empty):
     rows = [(i, " ".join(np.random.default_rng(i).choice(w, 60)), lang) for i in range(120)
             for lang, w in (("aa", ["tha", "thin", "shon"]), ("bb", ["que", "cion", "ñado"]))]
