@@ -118,11 +118,11 @@ class Words:
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
 
-def slices(
-    batch: pa.RecordBatch, column: str = "text", lower: bool = False
-) -> Iterator[tuple[slice, Words]]:
-    """Row ranges of a batch with their words; a null text has none."""
-    texts = batch.column(column).cast(pa.large_binary()).fill_null(b"")
+def bodies(
+    texts: pa.Array, size: int = SLICE_BYTES
+) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Row ranges of about ``size`` bytes with their UTF-8 and where each text starts in it."""
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
     if len(texts) == 0:
         return
     _, where, body = texts.buffers()
@@ -130,13 +130,56 @@ def slices(
     data = np.frombuffer(body, np.uint8) if body else np.zeros(0, np.uint8)
     low = 0
     while low < len(texts):
-        high = int(np.searchsorted(offsets, offsets[low] + SLICE_BYTES, "right")) - 1
+        high = int(np.searchsorted(offsets, offsets[low] + size, "right")) - 1
         high = min(max(high, low + 1), len(texts))
         own = offsets[low : high + 1]
-        yield slice(low, high), Words(data[own[0] : own[-1]], own - own[0], lower)
+        yield slice(low, high), data[own[0] : own[-1]], own - own[0]
         low = high
 
 
+def slices(
+    batch: pa.RecordBatch, column: str = "text", lower: bool = False
+) -> Iterator[tuple[slice, Words]]:
+    """Row ranges of a batch with their words; a null text has none."""
+    for rows, data, offsets in bodies(batch.column(column)):
+        yield rows, Words(data, offsets, lower)
+
+
+def distinct_spans(
+    data: np.ndarray, offsets: np.ndarray, border: np.ndarray
+) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Texts cut at every true ``border`` (before that byte) and at their own.
+
+    Returns the number of every span's bytes among the distinct ones, these, and the first span of
+    each text (one more than there are texts).
+    """
+    border[offsets[:-1][offsets[:-1] < len(data)]] = True
+    starts = np.flatnonzero(border)
+    ends = np.append(starts, len(data)).astype(np.int64)
+    spans = pa.Array.from_buffers(
+        pa.large_binary(),
+        len(starts),
+        [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))],
+    ).dictionary_encode()
+    return spans.indices.to_numpy(), spans.dictionary.to_pylist(), np.searchsorted(starts, offsets)
+
+
+def changes(kind: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before it."""
+    border = np.zeros(len(kind), bool)
+    border[1:] = kind[1:] != kind[:-1]
+    return border
+
+
+def gathered(table: list[bytes], at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The 32-bit numbers of ``table`` (bytes of each row) for every row in ``at``, and how many."""
+    size = np.fromiter(map(len, table), np.int64, len(table)) // 4
+    first = np.cumsum(size) - size
+    length = size[at]
+    take = np.repeat(first[at], length) + spread(length)
+    return np.frombuffer(b"".join(table), "<u4")[take], length
+
+
 def runs_of_equal(*columns: np.ndarray) -> np.ndarray:
     """Indices at which a row differs from the row before it in any column (0 included)."""
     n = len(columns[0])

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import documents, written
+from .shared import LOWER, SPACE, bodies, changes, distinct_spans, documents, gathered, written
 
 END_ID = 2
 LANES = 1024
@@ -33,10 +33,26 @@ LOW = np.uint64(1 << 31)
 # Steps between two checkpoints.
 CHECKPOINT = 128
 # Distinct parts of texts in each of the two generations that a task remembers.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
+# Bytes of texts whose parts are looked up together, and parts that are encoded as one text.
+TEXT_BYTES = 4 << 20
+JOINED = 100
+# Characters that may part them.
+SEPARATORS = "\u00bd\u00bc\u00b2\u00b3"
 MAGIC = b"TKB1"
 # Stands for a null doc_id in the file.
 NO_ID = -(1 << 63)
+# Kinds of bytes: 0 white space, 1 letters, 2 digits, 3 punctuation, 4 the apostrophe, 5 all others.
+KINDS = np.full(256, 5, np.uint8)
+KINDS[SPACE] = 0
+for _kind, _characters in enumerate([string.ascii_letters, string.digits, string.punctuation, "'"], 1):
+    KINDS[list(_characters.encode())] = _kind
+# Between which kinds a text always parts: not after an apostrophe, which may begin "'s" or end a run
+# of punctuation, not inside such a run, and not beside bytes whose kind depends on the character.
+CUTS = np.zeros((6, 6), bool)
+CUTS[1:5, 1:5] = ~np.eye(4, dtype=bool)
+CUTS[2, 2] = True
+CUTS[4, 1] = CUTS[3, 4] = CUTS[4, 3] = False
 _tokenizers: dict[str, tuple] = {}
 
 
@@ -153,42 +169,113 @@ def _tokenizer(path: str) -> tuple:
     if path not in _tokenizers:
         # A task has one core; threads of the library would only contend for it.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers
 
         tokenizer = Tokenizer.from_file(path)
+
+        def ids(text: str) -> list[int]:
+            return tokenizer.encode(text, add_special_tokens=False).ids
+
         upper, lower = string.ascii_uppercase, string.ascii_lowercase
-        folds = all(tokenizer.encode(a).ids == tokenizer.encode(b).ids for a, b in zip(upper, lower))
-        _tokenizers[path] = tokenizer, [{}, {}], folds
+        folds = all(ids(a) == ids(b) for a, b in zip(upper, lower))
+        others = [c for c in string.punctuation + string.digits if c != "'"]
+        # "ab" is one id or more by itself, and so for every run of letters: a character that ends
+        # such runs leaves them as they are.
+        finer = folds and all(ids(f"ab{c}ab") == [*ids("ab"), *ids(c), *ids("ab")] for c in others)
+        # A character that is one id wherever it stands alone: it parts words of a joined text.
+        marks = [
+            c for c in SEPARATORS
+            if len(ids(c)) == 1 and ids(f"a {c} {c} b") == ids("a") + 2 * ids(c) + ids("b")
+        ]
+        mark = (marks[0], ids(marks[0])[0]) if marks else None
+        # Words of a-z are what normalizing gives back; they need no more than that it ends.
+        quick = Tokenizer.from_file(path)
+        quick.normalizer = normalizers.Lowercase()
+        pairs = [f"{a}{b}" for a in lower for b in lower]
+        same = finer and mark and ids(" ".join(pairs)) == quick.encode(" ".join(pairs), add_special_tokens=False).ids
+        _tokenizers[path] = tokenizer, quick if same else tokenizer, [{}, {}], folds, finer, mark
     return _tokenizers[path]
 
 
-def ids_of(texts: list[str | None], path: str, end: int) -> list[np.ndarray]:
+def _coded(tokenizer, mark: tuple[str, int] | None, words: list[bytes]) -> Iterator[bytes]:
+    """Ids of every word as little-endian 32-bit integers; many words are encoded as one text."""
+
+    def by_itself(some: list[str]) -> Iterator[bytes]:
+        for coded in tokenizer.encode_batch_fast(some, add_special_tokens=False):
+            yield np.array(coded.ids, "<u4").tobytes()
+
+    for low in range(0, len(words), 10_000):
+        part = [w.decode() for w in words[low : low + 10_000]]
+        groups = [part[i : i + JOINED] for i in range(0, len(part), JOINED)]
+        if mark is None:
+            yield from by_itself(part)
+            continue
+        joined = [f" {mark[0]} ".join(g) for g in groups]
+        for own, coded in zip(
+            groups, tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True
+        ):
+            ids = np.array(coded.ids, "<u4")
+            ends = np.append(np.flatnonzero(ids == mark[1]), len(ids))
+            if len(ends) != len(own):  # a word holds the separator itself
+                yield from by_itself(own)
+                continue
+            body, starts = ids.tobytes(), np.append(0, ends[:-1] + 1)
+            for a, b in zip((4 * starts).tolist(), (4 * ends).tolist()):
+                yield body[a:b]
+
+
+def ids_of(texts: pa.Array | list[str | None], path: str, end: int) -> list[np.ndarray]:
     """Ids of every text and the end id.
 
     This tokenizer drops white space and never joins what it parts, so a text's ids are those of its
-    parts, and every distinct part is encoded once. Where it ignores the case of A-Z, parts that
-    differ in it are one; combining marks, which may compose with one case only, forbid that.
+    parts, and every distinct part is encoded once. It parts ASCII letters, digits and punctuation as
+    well (``CUTS``). Where it ignores the case of A-Z, parts that differ in it are one; combining
+    marks, which may compose with one case only, forbid that, and so does ``<|``, which may begin a
+    special token (of one case, and of letters and punctuation).
     """
-    tokenizer, generations, folds = _tokenizer(path)
-    if len(generations[0]) > REMEMBERED:
-        # What the next texts use again moves over from the old generation, the rest goes with it.
-        generations[:] = {}, generations[0]
-    known, old = generations
-    # Bytes part at ASCII white space alone, all of which the tokenizer drops.
-    bodies = [(t or "").encode() for t in texts]
-    split = [
-        (b.lower() if folds and b"\xcc" not in b and b"\xcd" not in b else b).split() for b in bodies
-    ]
-    missing = {w for s in split for w in s if w not in known}
-    known.update((w, old[w]) for w in missing if w in old)
-    new = [w for w in missing if w not in known]
-    for low in range(0, len(new), 10_000):
-        part = new[low : low + 10_000]
-        texts = [w.decode() for w in part]
-        for w, coded in zip(part, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            known[w] = np.array(coded.ids, "<u4").tobytes()
-    stop = np.array([end], "<u4").tobytes()
-    return [np.frombuffer(b"".join([*[known[w] for w in s], stop]), "<u4") for s in split]
+    tokenizer, quick, generations, folds, finer, mark = _tokenizer(path)
+    column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+    out = []
+    for _, data, offsets in bodies(column, TEXT_BYTES):
+        # Bytes part at ASCII white space at least, all of which the tokenizer drops.
+        border = changes(SPACE[data])
+        if folds:
+            special = np.flatnonzero((data[:-1] == ord("<")) & (data[1:] == ord("|")))
+            marks = np.flatnonzero((data == 0xCC) | (data == 0xCD))
+            whole = _outside(offsets, np.append(special, marks))
+            data = np.where(whole, LOWER[data], data)
+            if finer:
+                kind = KINDS[data]
+                border[1:] |= CUTS.ravel()[6 * kind[:-1] + kind[1:]] & whole[1:]
+        at, words, first = distinct_spans(data, offsets, border)
+        if len(generations[0]) > REMEMBERED:
+            # What the next texts use again moves over from the old generation, the rest goes with it.
+            generations[:] = {}, generations[0]
+        known, old = generations
+        missing = [w for w in words if w not in known]
+        known.update((w, old[w]) for w in missing if w in old)
+        new = [w for w in missing if w not in known]
+        plain, rest = [], []
+        for w in new:
+            if not w.strip():
+                known[w] = b""
+            else:
+                (plain if w.isalpha() and w.islower() else rest).append(w)
+        # Neighbours in the alphabet are alike, which suits the library's tables.
+        plain.sort()
+        known.update(zip(plain, _coded(quick, mark, plain), strict=True))
+        known.update(zip(rest, _coded(tokenizer, mark, rest), strict=True))
+        ids, length = gathered([known[w] for w in words], at)
+        ends = np.append(0, np.cumsum(length))[first]
+        out += [np.append(ids[a:b], np.uint32(end)) for a, b in zip(ends[:-1], ends[1:])]
+    return out
+
+
+def _outside(offsets: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """For every byte whether its text holds none of ``places``."""
+    held = np.zeros(len(offsets) - 1, bool)
+    held[np.searchsorted(offsets, places, "right") - 1] = True
+    return np.repeat(~held, np.diff(offsets))
 
 
 _CHUNK = pa.schema(
@@ -227,10 +314,10 @@ def _chunks(path: str, end: int, block_ids: int):
 
         size = 0
         for batch in batches:
-            for low in range(0, len(batch), 200):
-                piece = batch.slice(low, 200)
+            for low in range(0, len(batch), 2000):
+                piece = batch.slice(low, 2000)
                 ids = piece.column("doc_id").fill_null(NO_ID).to_pylist()
-                coded = ids_of(piece.column("text").to_pylist(), path, end)
+                coded = ids_of(piece.column("text"), path, end)
                 for doc, own in zip(ids, coded):
                     part = doc if part is None else part
                     docs.append(doc)

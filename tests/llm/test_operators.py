@@ -346,3 +346,37 @@ def test_pipeline_stages_keep_their_columns(spark, docs, tmp_path):
         if name != "sentencepiece":
             assert frame.columns == docs.columns, name
     assert {r.doc_id for r in frame.collect()} >= {1, 9, 12}
+
+
+def test_token_ids_of_odd_texts_equal_the_librarys_and_words_share_calls(monkeypatch):
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from basketloom.llm import token_blocks
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    rng = random.Random(3)
+    characters = "ab'sSt\"!<|.,0123½éÉ́ ΑΣ\n\t\x1c  🙂’٣R¼ dm"
+    texts = ["".join(rng.choices(characters, k=rng.randint(0, 30))) for _ in range(2000)]
+    texts += ["A <|ENDOFTEXT|> b", "x<|endoftext|>Y", "½ a½b", "it's 'stuff !'s x'T don't''s 3's", "", None]
+    wanted = [library.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+    assert [list(ids) for ids in token_blocks.ids_of(texts, path, 2)] == wanted
+
+    # Many distinct words are few texts for the library.
+    tokenizer, mark = token_blocks._tokenizer(path)[0], token_blocks._tokenizer(path)[-1]
+    sent = []
+
+    class Counting:
+        def encode_batch_fast(self, some, **options):
+            sent.extend(some)
+            return tokenizer.encode_batch_fast(some, **options)
+
+    words = [f"w{'x' * (i % 7)}y{'z' * (i % 11)}q".encode() for i in range(77)]
+    coded = list(token_blocks._coded(Counting(), mark, words))
+    assert coded == [
+        np.array(library.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes() for w in words
+    ]
+    assert len(sent) == 1
