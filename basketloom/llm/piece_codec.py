@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding by shared-prefix Viterbi.
 
-A text is cut into marked words (``\\u2581word``); no piece of the vocabulary reaches over such a
-border. The distinct words of a task are sorted, which lays them out as a depth-first walk of their
+A text is cut where no piece of the vocabulary reaches over the border: before marked words
+(``\\u2581word``), and between letters and most punctuation. The distinct words of a task are sorted, which lays them out as a depth-first walk of their
 trie: the forward table (best score and last piece for every prefix) is kept up to the prefix that a
 word shares with the one before it, and only the rest is computed.
 
@@ -13,20 +13,22 @@ the best path is SentencePiece's own.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .shared import documents
+from .shared import bodies, distinct_spans, documents, gathered
 
 MARK = "\u2581"
 # Distinct words, and pairs of pieces, in each of the two generations that a task remembers.
 REMEMBERED = 150_000
+# Bytes of texts whose words are looked up together.
+TEXT_BYTES = 4 << 20
 # Marks in the table of prefixes: a piece not yet looked at, no standing piece.
 UNSEEN, PASSING = object(), object()
 _loaded: dict[str, Codec] = {}
@@ -57,13 +59,15 @@ class Codec:
                 self.bytes_of.append(piece.replace(MARK, " ").encode())
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece reaches over the start of a word")
-        whole = "".join({c for p in self.ids for c in p} & {"\n", "\t"})
-        # Characters of no piece part words as well: "\n" ends most lines of a corpus.
-        parts = "" if "\n" in whole else "\n"
-        self.word = re.compile(f"{MARK}*[^{MARK}{parts}]+|{MARK}+|{parts}+" if parts else
-                               f"{MARK}*[^{MARK}]+|{MARK}+")
-        self.words: dict[str, bytes] = {}
-        self.old_words: dict[str, bytes] = {}
+        # Bytes that stand next to each other in some piece (a blank for the mark). A text parts for
+        # certain where no piece has the two bytes side by side; characters are never divided.
+        self.joins = np.zeros((256, 256), bool)
+        self.joins[:, 0x80:0xC0] = True
+        for piece in self.ids:
+            body = np.frombuffer(piece.replace(MARK, " ").encode(), np.uint8)
+            self.joins[body[:-1], body[1:]] = True
+        self.words: dict[bytes, bytes] = {}
+        self.old_words: dict[bytes, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
         self.old_pairs: dict[tuple[str, str], bool] = {}
         # Prefixes of pieces: score of a piece that merging its characters gives back, or a mark.
@@ -160,22 +164,32 @@ class Codec:
                 else:
                     found.append(known)
                 end -= len(piece)
-            self.words[word] = np.array(found[::-1], np.int32).tobytes()
+            self.words[word.replace(MARK, " ").encode()] = np.array(found[::-1], np.int32).tobytes()
             before = word
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of every text as little-endian 32-bit integers; none for a null or empty text."""
-        cut = [
-            self.word.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts
-        ]
-        if len(self.words) > REMEMBERED:
-            # What the next texts use again moves over from the old generation.
-            self.words, self.old_words = {}, self.words
-        words, old = self.words, self.old_words
-        missing = {w for c in cut for w in c if w not in words}
-        words.update((w, old[w]) for w in missing if w in old)
-        self.learn(sorted(w for w in missing if w not in old))
-        return [b"".join([words[w] for w in c]) for c in cut]
+    def encode(self, texts: pa.Array | list[str | None]) -> list[np.ndarray]:
+        """Ids of every text as 32-bit integers; none for a null or empty text."""
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        # A text begins with a mark; marks are blanks until their words are learnt.
+        text = pc.replace_substring(column.cast(pa.large_string()).fill_null(""), MARK, " ")
+        blank, none = (pa.scalar(x, pa.large_string()) for x in (" ", ""))
+        text = pc.if_else(pc.equal(text, none), none, pc.binary_join_element_wise(blank, text, none))
+        out = []
+        for _, data, offsets in bodies(text, TEXT_BYTES):
+            border = np.zeros(len(data), bool)
+            border[1:] = ~self.joins.ravel()[256 * data[:-1].astype(np.int32) + data[1:]]
+            at, cut, first = distinct_spans(data, offsets, border)
+            if len(self.words) > REMEMBERED:
+                # What the next texts use again moves over from the old generation.
+                self.words, self.old_words = {}, self.words
+            words, old = self.words, self.old_words
+            missing = [w for w in cut if w not in words]
+            words.update((w, old[w]) for w in missing if w in old)
+            self.learn(sorted(w.decode().replace(" ", MARK) for w in missing if w not in old))
+            ids, length = gathered([words[w] for w in cut], at)
+            ends = np.append(0, np.cumsum(length))[first]
+            out += [ids[a:b].view(np.int32) for a, b in zip(ends[:-1], ends[1:])]
+        return out
 
     def decode(self, ids: list[int]) -> str:
         table = self.bytes_of
@@ -194,11 +208,11 @@ def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
         for batch in batches:
-            for low in range(0, len(batch), 200):
-                part = batch.slice(low, 200)
-                bodies = c.encode(part.column("text").to_pylist())
-                flat = np.frombuffer(b"".join(bodies), np.int32)
-                ends = np.cumsum([0, *(len(b) // 4 for b in bodies)]).astype(np.int32)
+            for low in range(0, len(batch), 2000):
+                part = batch.slice(low, 2000)
+                coded = c.encode(part.column("text"))
+                flat = np.concatenate(coded)
+                ends = np.cumsum([0, *map(len, coded)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),

@@ -380,3 +380,23 @@ def test_token_ids_of_odd_texts_equal_the_librarys_and_words_share_calls(monkeyp
         np.array(library.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes() for w in words
     ]
     assert len(sent) == 1
+
+
+def test_pieces_are_cut_where_no_piece_reaches_over(monkeypatch):
+    import random
+
+    import sentencepiece
+
+    path = piece_codec.default_model()
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    codec = piece_codec.Codec(path)
+    learnt = []
+    learn = codec.learn
+    monkeypatch.setattr(codec, "learn", lambda words: learnt.extend(words) or learn(words))
+    texts = ["their, their. their; their!\n", "their?\n\n their", "▁their ▁their", "", None]
+    assert [list(ids) for ids in codec.encode(texts)] == [library.encode(t or "") for t in texts]
+    assert [w for w in learnt if "their" in w] == ["▁their", "▁▁their"]
+    rng = random.Random(2)
+    characters = "ab'sStÉ\"!<|.,0123½éÉ́ ΑΣ\n\n\t🙂’٣R¼ dm  etheioun"
+    texts = ["".join(rng.choices(characters, k=rng.randint(0, 30))) for _ in range(2000)]
+    assert [list(ids) for ids in codec.encode(texts)] == [library.encode(t) for t in texts]
