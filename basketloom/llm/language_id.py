@@ -11,6 +11,7 @@ counts, ``calibration_rows`` for temperature and limits); prediction reads every
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,13 +22,18 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import documents, fold, mix
+from .shared import LOWER, bodies, changes, distinct_spans, documents, fold, mix
 
 ORDER = 5
 SAMPLE_ROWS = 3000
 CALIBRATION_ROWS = 600
 # Distinct words that a task remembers.
 REMEMBERED = 150_000
+# Bytes of texts whose words are looked up together, and bytes that may be part of a word.
+TEXT_BYTES = 2 << 20
+INSIDE = np.zeros(256, bool)
+INSIDE[list(string.ascii_letters.encode())] = True
+INSIDE[0x80:] = True
 START, STOP = "\x02", "\x03"
 WORD = r"\p{L}[\p{L}\p{M}]*"
 UNDETERMINED = "und"
@@ -66,27 +72,38 @@ class KneserNey:
         codes = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
         lengths = np.array([len(w) + 2 for w in words])
         place = np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        p = np.full((len(codes), len(self.languages)), self.floor)
-        h = np.zeros(len(codes), np.uint64)
-        before = np.zeros(len(codes), np.uint64)  # hash of the same gram without its last symbol
+        # Hashes of the grams of every size that end at a symbol; the longest one tells its share.
+        hashes = [np.zeros(len(codes), np.uint64)]
+        longest = hashes[0].copy()
         for k in range(1, min(len(self.grams), len(codes)) + 1):
-            at = np.flatnonzero(place >= max(k - 1, 1))
-            p[at] *= _find(self.contexts[k - 1], before[at], 1.0)
+            h = hashes[-1].copy()
             h[k - 1 :] = _extend(h[k - 1 :], codes[: len(codes) - k + 1])
-            p[at] += _find(self.grams[k - 1], h[at], 0.0)
-            # The context of the next order ends one symbol earlier and is as long as this gram.
-            before[1:] = h[:-1]
-        logs = np.log(p)
+            hashes.append(h)
+            longest = np.where(place >= k - 1, h, longest)
+        # Equal grams, of which similar words have many, are looked up once.
+        _, one, same = np.unique(longest, return_index=True, return_inverse=True)
+        p = np.full((len(one), len(self.languages)), self.floor)
+        at = np.flatnonzero(place[one] >= 1)
+        for k in range(1, len(hashes)):
+            at = at[place[one[at]] >= k - 1]
+            # The context ends one symbol earlier and is one symbol shorter.
+            left, known = _find(self.contexts[k - 1], hashes[k - 1][one[at] - 1], 1.0)
+            # Where it is not known, neither is the gram, nor any longer context.
+            p[at] *= left
+            at = at[known]
+            p[at] += _find(self.grams[k - 1], hashes[k][one[at]], 0.0)[0]
+        logs = np.log(p)[same]
         logs[place == 0] = 0
         return np.add.reduceat(logs, np.cumsum(lengths) - lengths, axis=0)
 
 
-def _find(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray, missing: float) -> np.ndarray:
+def _find(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray, missing: float):
+    """Values of the keys, and which of them the table has."""
     hashes, values = table
     at = np.minimum(np.searchsorted(hashes, keys), len(hashes) - 1)
-    out = values[at]
-    out[hashes[at] != keys] = missing
-    return out
+    out, known = values[at], hashes[at] == keys
+    out[~known] = missing
+    return out, known
 
 
 def _grams(order: int):
@@ -158,12 +175,13 @@ class Reader:
         self.clear()
 
     def clear(self) -> None:
-        self.rows: dict[str, int] = {}
+        self.rows: dict[bytes, int] = {}
         self.sums = np.zeros((0, len(self.model.languages)))
         self.symbols = np.zeros(0, np.int64)
 
-    def learn(self, chunks: list[str]) -> None:
-        found = [self.word.findall(c.lower()) for c in chunks]
+    def learn(self, chunks: list[bytes]) -> None:
+        lower = [c.decode().lower() for c in chunks]
+        found = [[c] if c.isalpha() else self.word.findall(c) for c in lower]
         words = sorted({w for f in found for w in f})
         scores = np.zeros((len(words) + 1, len(self.model.languages)))
         for low in range(0, len(words), 20_000):
@@ -181,26 +199,34 @@ class Reader:
         self.symbols[old:new] = [sum(len(w) + 1 for w in f) for f in found]
         self.rows.update(zip(chunks, range(old, new)))
 
-    def read(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def read(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Log probabilities (texts x languages) and numbers of symbols."""
-        split = [(t or "").split() for t in texts]
-        if len(self.rows) > REMEMBERED:
-            self.clear()
-        new = {c for s in split for c in s if c not in self.rows}
-        if new:
-            self.learn(sorted(new))
-        rows = self.rows
-        sums = np.array([self.sums[[rows[c] for c in s]].sum(axis=0) for s in split])
-        return sums, np.array([self.symbols[[rows[c] for c in s]].sum() for s in split], np.int64)
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        sums = np.zeros((len(column), len(self.model.languages)))
+        symbols = np.zeros(len(column), np.int64)
+        for rows, data, offsets in bodies(column, TEXT_BYTES):
+            # No word reaches over an ASCII character that is no letter.
+            data = LOWER[data]
+            at, chunks, first = distinct_spans(data, offsets, changes(INSIDE[data]))
+            if len(self.rows) > REMEMBERED:
+                self.clear()
+            if new := [c for c in chunks if c not in self.rows]:
+                self.learn(sorted(new))
+            place = np.fromiter((self.rows[c] for c in chunks), np.int64, len(chunks))[at]
+            full = np.flatnonzero(np.diff(first))
+            if len(full):
+                sums[rows][full] = np.add.reduceat(self.sums[place], first[full], axis=0)
+                symbols[rows][full] = np.add.reduceat(self.symbols[place], first[full])
+        return sums, symbols
 
 
 def _entropies(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(model.value)
         for batch in batches:
-            for low in range(0, len(batch), 100):
-                part = batch.slice(low, 100)
-                sums, n = reader.read(part.column("text").to_pylist())
+            for low in range(0, len(batch), 2000):
+                part = batch.slice(low, 2000)
+                sums, n = reader.read(part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("lang"), pa.array(n), pa.array(list(-sums), pa.list_(pa.float64()))],
                     ["lang", "n", "nats"],
@@ -300,8 +326,8 @@ def predictor(spark, model: KneserNey | None):
         reader = Reader(m) if m else None
         for column in texts:
             rows = []
-            for low in range(0, len(column), 100):
-                part = column.slice(low, 100).to_pylist()
+            for low in range(0, len(column), 2000):
+                part = column.slice(low, 2000)
                 if not m:
                     rows += [(UNDETERMINED, 0.0, None, True)] * len(part)
                     continue

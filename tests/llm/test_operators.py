@@ -400,3 +400,29 @@ def test_pieces_are_cut_where_no_piece_reaches_over(monkeypatch):
     characters = "ab'sStÉ\"!<|.,0123½éÉ́ ΑΣ\n\n\t🙂’٣R¼ dm  etheioun"
     texts = ["".join(rng.choices(characters, k=rng.randint(0, 30))) for _ in range(2000)]
     assert [list(ids) for ids in codec.encode(texts)] == [library.encode(t) for t in texts]
+
+
+def test_equal_grams_and_words_are_looked_up_once(monkeypatch):
+    import pandas as pd
+
+    words = pd.DataFrame({"lang": ["a", "b"], "word": ["thatch", "queue"], "n": [5, 4]})
+    counts = pd.concat(language_id._grams(5)([words])).groupby(["lang", "gram"], as_index=False)["n"].sum()
+    model = language_id.kneser_ney(counts, 5)
+    some = ["that", "thatch", "thatched", "queue", "quiet", "é"]
+    alone = np.concatenate([model.score([w]) for w in some])
+    asked = []
+    find = language_id._find
+    monkeypatch.setattr(
+        language_id, "_find", lambda table, keys, missing: asked.append(len(keys)) or find(table, keys, missing)
+    )
+    assert np.allclose(model.score(some), alone, rtol=1e-12)
+    once = sum(asked)
+    asked.clear()
+    model.score(some * 50)
+    assert sum(asked) == once
+
+    reader = language_id.Reader(model)
+    sums, symbols = reader.read(["That, that! (that) 12 THAT.", "that", "12 !", None, "É'é-that"])
+    assert symbols.tolist() == [20, 5, 0, 0, 9]
+    assert np.allclose(sums, [4 * alone[0], alone[0], 0 * alone[0], 0 * alone[0], alone[0] + 2 * alone[5]])
+    assert sum(b"that" in c for c in reader.rows) == 1
