@@ -12,8 +12,10 @@ l: a longer prefix, but l matches asked for before anything is verified.
 4. First pass: every class is verified against the most central class of each of its prefix
    shingles. This links groups of near copies without a pair for each two of them.
 5. Second pass: candidates that are still in different components go through the length,
-   positional and multi-match filters, and what remains is verified. Together the passes decide
-   every pair that could join two components, so the components are exact.
+   positional and multi-match filters, and what remains is verified. Where many components share a
+   shingle, pairs must also agree in a sketch: a bit for each of 512 parts of the hashes says whether a
+   set has an odd number of shingles there, and sets differ in as many shingles as in bits, at least.
+   Together the passes decide every pair that could join two components, so the components are exact.
 """
 
 from __future__ import annotations
@@ -36,6 +38,9 @@ REPORTED = 4
 # Estimated candidates that a document may have before it asks for one more match.
 CHEAP = 64
 MOST_MATCHES = 4
+# 64-bit columns of a sketch, and the components that a shingle has before its classes need theirs.
+SKETCH = tuple(f"sketch{i}" for i in range(8))
+CROWDED = 4
 
 
 def shingles(words, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,13 +111,21 @@ def class_ids(values: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.where(size > 0, mix(total + size.astype(np.uint64)) | np.uint64(1), np.uint64(0))
 
 
+def sketches(values: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
+    """(texts, 64-bit columns): a bit is set where an odd number of the text's shingles fall in its part."""
+    bits = 64 * len(SKETCH)
+    part = (values & np.uint64(bits - 1)).astype(np.int64)
+    odd = np.bincount(owner * bits + part, minlength=texts * bits).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(texts, bits), axis=1, bitorder="little").view("<i8")
+
+
 def needed(size, percent: int):
     """Shingles that a set shares with any similar one, at least."""
     return -(-size * percent // 100)
 
 
 def _prefixes(width: int, percent: int, levels):
-    names = ["doc_id", "row_key", "size", "class", "matches", "tokens"]
+    names = ["doc_id", "row_key", "size", "class", "matches", "tokens", *SKETCH]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = levels.value
@@ -131,6 +144,7 @@ def _prefixes(width: int, percent: int, levels):
                 matches = np.minimum(matches, np.minimum(MOST_MATCHES, np.maximum(size, 1)))
                 length = np.minimum(base + matches - 1, size)
                 take = np.repeat(first, length) + spread(length)
+                odd = sketches(values, owner, len(size))
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(rows.start, rows.stop - rows.start),
@@ -142,6 +156,7 @@ def _prefixes(width: int, percent: int, levels):
                             pa.array(np.append(0, np.cumsum(length)).astype(np.int32)),
                             pa.array(values[take].view(np.int64)),
                         ),
+                        *[pa.array(np.ascontiguousarray(column)) for column in odd.T],
                     ],
                     names,
                 )
@@ -272,6 +287,48 @@ def verified(
     )
 
 
+def _alike(percent: int) -> Column:
+    """Whether sets with these sketches can be similar: all bits in which they differ stand for shingles
+    that only one of them has."""
+    differ = sum(
+        (F.bit_count(F.col(f"{s}_a").bitwiseXOR(F.col(f"{s}_b"))) for s in SKETCH), F.lit(0)
+    )
+    n, m = F.col("size_a"), F.col("size_b")
+    return differ <= n + m - 2 * _required(n, m, percent)
+
+
+def meetings(placed: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes (_a, _b) of different components, a row for each prefix shingle they share.
+
+    The largest component of a shingle is not paired in itself. Pairs that cannot be similar are left
+    out by their places and, where a shingle has many components, by their sketches (``sketched``).
+    """
+    per_root = placed.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n"))
+    top = per_root.groupBy("token").agg(
+        F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("roots")
+    ).where("roots > 1").select("token", "roots", F.col("top.root").alias("top"))
+    several = placed.join(top, "token")
+    side = ["class", "size", "matches", "place", "root"]
+
+    def met(rows: DataFrame, also: tuple[str, ...], condition: Column) -> DataFrame:
+        one = rows.where("root <> top").select(
+            "token", "top", *[F.col(c).alias(f"{c}_a") for c in [*side, *also]]
+        )
+        two = rows.select("token", *[F.col(c).alias(f"{c}_b") for c in [*side, *also]])
+        return one.join(
+            two,
+            (one.token == two.token)
+            & (F.col("root_a") != F.col("root_b"))
+            & ((F.col("root_b") == F.col("top")) | (F.col("class_a") < F.col("class_b")))
+            & _possible("size_a", "place_a", "size_b", "place_b", percent)
+            & condition,
+        ).select(*[f"{c}_{x}" for x in "ab" for c in side])
+
+    crowded = several.where(F.col("roots") > CROWDED).join(sketched, "class")
+    few = several.where(F.col("roots") <= CROWDED)
+    return met(few, (), F.lit(True)).unionByName(met(crowded, SKETCH, _alike(percent)))
+
+
 def join_similar(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Per document: doc_id, row_key, n_shingles, component_id (smallest doc_id reachable by links),
     group (the same for linked rows, null without words).
@@ -284,12 +341,17 @@ def join_similar(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT)
     """
     levels = frequency_order(docs, width)
     source = docs.select("doc_id", row_key().alias("row_key"), "text")
-    scheme = "doc_id long, row_key int, size int, class long, matches int, tokens array<long>"
+    scheme = ", ".join(
+        ["doc_id long, row_key int, size int, class long, matches int, tokens array<long>"]
+        + [f"{s} long" for s in SKETCH]
+    )
     prefixed = written(source.mapInArrow(_prefixes(width, percent, levels), scheme), "prefixes")
     classes = prefixed.where("size > 0").groupBy("class").agg(
         F.min("doc_id").alias("lead"), F.min(F.struct("doc_id", "row_key")).alias("row")
     )
 
+    sketched = prefixed.where("size > 0").groupBy("class").agg(*[F.first(s).alias(s) for s in SKETCH])
+
     posting = prefixed.select(
         "class", "size", "matches", F.posexplode("tokens").alias("place", "token")
     )
@@ -342,28 +404,11 @@ def join_similar(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT)
         ),
         "placed",
     )
-    per_root = placed.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n"))
-    top = per_root.groupBy("token").agg(
-        F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("roots")
-    ).where("roots > 1").select("token", F.col("top.root").alias("top"))
-    side = ["class", "size", "matches", "place", "root"]
-    several = placed.join(top, "token")
-    one = several.where("root <> top").select(
-        "token", "top", *[F.col(c).alias(f"{c}_a") for c in side]
-    )
-    two = several.select("token", *[F.col(c).alias(f"{c}_b") for c in side])
-
     def pick(first: str, second: str) -> Column:
         return F.when(F.col("class_a") < F.col("class_b"), F.col(first)).otherwise(F.col(second))
 
     candidates = (
-        one.join(
-            two,
-            (one.token == two.token)
-            & (F.col("root_a") != F.col("root_b"))
-            & ((F.col("root_b") == F.col("top")) | (F.col("class_a") < F.col("class_b")))
-            & _possible("size_a", "place_a", "size_b", "place_b", percent),
-        )
+        meetings(placed, sketched, percent)
         .groupBy(
             F.least("class_a", "class_b").alias("a"), F.greatest("class_a", "class_b").alias("b")
         )

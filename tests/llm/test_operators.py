@@ -136,6 +136,45 @@ def test_ngram_jaccard_chain_without_hub(spark):
     assert got[12] == 0
 
 
+def test_ngram_jaccard_pairs_of_a_large_group(spark, monkeypatch):
+    """Variants of a text that are not similar met once for each two of them and each shingle they share."""
+    kept, write = {}, ngram_jaccard.written
+
+    def noted(df, name):
+        kept[name] = write(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(ngram_jaccard, "written", noted)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for k in range(120):
+        rng = np.random.default_rng(k)
+        text = list(base)
+        for i in rng.choice(150, 7, replace=False):
+            text[i] = f"x{k}_{i}"
+        rows.append((k, " ".join(text)))
+    rows += [(200, rows[5][1] + " more"), (201, rows[9][1] + " more")]
+    got = ngram_jaccard.join_similar(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = [tuple(r) for r in got.drop("row_key", "group").collect()]
+    assert sorted(got) == sorted(map(tuple, components(rows)))
+    sketched = kept["prefixes"].select("class", *ngram_jaccard.SKETCH)
+    pairs = ngram_jaccard.meetings(kept["placed"], sketched, 80)
+    met = pairs.count()
+    monkeypatch.setattr(ngram_jaccard, "CROWDED", 1 << 30)
+    assert met * 10 < ngram_jaccard.meetings(kept["placed"], sketched, 80).count()
+
+
+def test_ngram_jaccard_sketches_differ_in_no_more_bits_than_the_sets():
+    rng = np.random.default_rng(2)
+    for n, more in ((1, 0), (40, 3), (900, 70)):
+        x = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        y = np.append(x[min(n - 1, more) :], rng.integers(0, 1 << 63, more).astype(np.uint64))
+        owner = np.repeat([0, 1], [len(x), len(y)])
+        a, b = ngram_jaccard.sketches(np.append(x, y), owner, 3)[:2]
+        differ = sum(int(v).bit_count() for v in (a ^ b).view(np.uint64))
+        assert differ <= len(np.setxor1d(x, y)) and (differ > 0) == (more > 0)
+
+
 def test_decontamination(spark, docs, texts, empty):
     items = [(1, " ".join(texts[0][1].split()[5:25]).upper()), (1, "ONE"), (2, None), (3, "!!"), (4, "absent words here")]
     bench = spark.createDataFrame(items, "item_id long, text string")
