@@ -184,3 +184,19 @@ def test_every_pair_has_the_scores_of_its_own_factors(spark):
         size = math.sqrt(sum(a * a for a in u) * sum(b * b for b in i)) if u and i else 1.0
         assert math.isclose(r.als_dot, dot, rel_tol=1e-9, abs_tol=1e-12)
         assert math.isclose(r.als_cos, dot / max(size, 1e-8), rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_scales_equal_the_lazy_ones_and_constants_become_0(spark):
+    rows = [(i, 1e9 + i % 7, 0.1, float(i) if i % 5 else None) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double").repartition(6)
+    scales = seg.fitted_scales(df, ["a", "b", "c"])
+    values = [float(i) for i in range(400) if i % 5]
+    mean = sum(values) / len(values)
+    assert scales["b"] == (0.1, 1.0)
+    assert scales["c"] == pytest.approx((mean, math.sqrt(sum((v - mean) ** 2 for v in values) / len(values))))
+    assert scales["a"][1] == pytest.approx(df.agg(F.stddev_pop(F.col("a") - 1e9)).first()[0])
+    got = {r.id: r for r in seg.rescaled(df, scales).collect()}
+    for r in seg.standardize(df, ["a", "b", "c"]).collect():
+        assert tuple(got[r.id]) == pytest.approx(tuple(r)) and r.b == 0.0
+        assert (r.c is None) == (r.id % 5 == 0)
+    assert seg.fitted_scales(df.where("id < 0"), ["a"]) == {"a": (None, None)}
