@@ -200,3 +200,15 @@ def test_scales_equal_the_lazy_ones_and_constants_become_0(spark):
         assert tuple(got[r.id]) == pytest.approx(tuple(r)) and r.b == 0.0
         assert (r.c is None) == (r.id % 5 == 0)
     assert seg.fitted_scales(df.where("id < 0"), ["a"]) == {"a": (None, None)}
+
+
+def test_logistic_caches_its_rows_once(planted, monkeypatch):
+    # The fit caches blocks of vectors; the rows they are made from were cached beside them.
+    train, held = planted
+
+    def persist(self, *args):
+        raise AssertionError("rows cached twice")
+
+    monkeypatch.setattr(type(train), "persist", persist)
+    monkeypatch.setattr(type(train), "cache", persist)
+    assert models.logistic_scores(train, held, features=PLANTED).count() == 160
