@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from dataclasses import replace
 
 import pytest
@@ -74,3 +75,27 @@ def test_fingerprint_tells_tables_apart(tables):
     fewer = replace(tables, orders=tables.orders.where("user_id < 3"))
     assert fingerprint(tables) == fingerprint(replace(tables))
     assert fingerprint(tables) != fingerprint(fewer)
+
+
+def test_models_are_fitted_side_by_side(tables, spark, monkeypatch):
+    # They were fitted one after the other, each in short jobs that leave cores idle.
+    from basketloom.plans import next_order
+
+    names = next_order.DEFAULT_MODELS
+    meeting = threading.Barrier(len(names))
+
+    def fitted(tables, stage, name, *args):
+        meeting.wait(60)
+        return name
+
+    monkeypatch.setattr(next_order, "staged_scores", fitted)
+    with Stage(spark, "together") as stage:
+        found = next_order.fitted_together(tables, stage, names, None, False)
+    assert list(found.items()) == [(name, name) for name in names]
+
+    def failing(tables, stage, name, *args):
+        raise ValueError(name)
+
+    monkeypatch.setattr(next_order, "staged_scores", failing)
+    with Stage(spark, "failing") as stage, pytest.raises(ValueError, match=names[0]):
+        next_order.fitted_together(tables, stage, names, None, False)
